@@ -1,3 +1,4 @@
 """Imports every plan module so that their queries register."""
 
 from quire.plans import corpus  # noqa: F401
+from quire.plans import keywords  # noqa: F401

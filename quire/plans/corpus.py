@@ -664,7 +664,7 @@ WITH {SQL_ARCHIVE.strip()},
 st AS (SELECT CAST(min(TRY_CAST(date AS DATE)) - INTERVAL 1 DAY AS DATE) AS resume_date FROM archive),
 days AS (SELECT CAST(d AS DATE) AS crawl_date FROM st,
          LATERAL (SELECT unnest(generate_series(CAST(coalesce(resume_date, DATE '2015-12-17') AS TIMESTAMP),
-                                                TIMESTAMP '2023-06-01', INTERVAL -1 DAY)) AS d)
+                                                TIMESTAMP '2023-06-01', - INTERVAL 1 DAY)) AS d)
          WHERE coalesce(resume_date, DATE '2015-12-17') >= DATE '2023-06-01')
 SELECT crawl_date, CAST(p AS INTEGER) AS page,
        'https://example.org/sort/calendar/' || strftime(crawl_date, '%d') || '/' || strftime(crawl_date, '%m') || '/'
