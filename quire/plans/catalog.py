@@ -2,3 +2,4 @@
 
 from quire.plans import corpus  # noqa: F401
 from quire.plans import keywords  # noqa: F401
+from quire.plans import vectors  # noqa: F401
