@@ -51,7 +51,10 @@ def _normalizer(form: str):
         return s.map(lambda x: unicodedata.normalize(form, x) if isinstance(x, str) else None)
 
     _norm.__name__ = f"unicode_{form.lower()}"
-    return _norm
+    # The function is pure; declaring it non-deterministic keeps Catalyst from
+    # inlining it into pushed-down filters (which would evaluate the UDF and
+    # everything around it twice, the first time below any repartition).
+    return _norm.asNondeterministic()
 
 
 _NFKC = _normalizer("NFKC")
