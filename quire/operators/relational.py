@@ -129,12 +129,17 @@ def sample_fixed(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFram
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "pos") -> DataFrame:
     """1-based position of every row in a global order, without a single-task window.
 
-    Range-partition on the order, number rows inside each partition, and add
-    the row count of all earlier partitions (a table with one row per
-    partition, so its broadcast is bounded by the partition count).
+    Range-partition on the order and write the rows with their partition id
+    as a reliable checkpoint (so every later read sees the same partition of
+    each row, also after an executor loss); number rows inside each
+    partition and add the row count of all earlier partitions (a table with
+    one row per partition, so its broadcast is bounded by the partition count).
     """
+    from quire.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     order = list(order)
-    ranged = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
+    ranged = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()).checkpoint()
     local = ranged.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_pid", F.coalesce(
