@@ -40,46 +40,57 @@ class FieldSpec:
         return True
 
 
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+
+
 @dataclass
 class _Open:
     name: str
-    tag: str
+    level: int
     parts: list = field(default_factory=list)
 
 
 class _RecordParser(HTMLParser):
+    """Keeps a stack of open elements inside the current record; an end tag
+    closes everything above its matching start tag (implicit closes)."""
+
     def __init__(self, record: FieldSpec, fields: dict[str, FieldSpec]):
         super().__init__(convert_charrefs=True)
         self.record, self.fields = record, fields
-        self.in_record = False
+        self.stack: list[str] | None = None   # open tags inside the record; None = outside
         self.raw = 0
         self.open: list[_Open] = []
         self.records: list[dict[str, list[str]]] = []
 
-    def _close_fields(self, tag: str | None = None):
+    def _pop_to(self, level: int):
+        """Close every element at stack index >= level."""
         keep = []
         for o in self.open:
-            if tag is None or o.tag == tag:
+            if o.level >= level:
                 self.records[-1][o.name].append("".join(o.parts))
             else:
                 keep.append(o)
         self.open = keep
+        del self.stack[level:]
 
     def handle_starttag(self, tag, attrs):
         if tag in _RAW_TEXT:
             self.raw += 1
             return
         a = dict(attrs)
-        if not self.in_record:
+        if self.stack is None:
             if self.record.matches(tag, a):
-                self.in_record = True
+                self.stack = []
                 self.records.append({n: [] for n in self.fields})
             return
-        if tag in _AUTO_CLOSE:
-            self._close_fields(tag)
+        if tag in _VOID:
+            return
+        if tag in _AUTO_CLOSE and tag in self.stack:
+            self._pop_to(len(self.stack) - 1 - self.stack[::-1].index(tag))
+        self.stack.append(tag)
         for name, spec in self.fields.items():
             if spec.matches(tag, a):
-                self.open.append(_Open(name, tag))
+                self.open.append(_Open(name, len(self.stack) - 1))
 
     def handle_startendtag(self, tag, attrs):
         pass  # void elements (<br/>, <img/>) carry no text
@@ -87,11 +98,14 @@ class _RecordParser(HTMLParser):
     def handle_endtag(self, tag):
         if tag in _RAW_TEXT:
             self.raw = max(self.raw - 1, 0)
-        elif self.in_record and tag == self.record.tag:
-            self._close_fields()
-            self.in_record = False
-        elif self.in_record:
-            self._close_fields(tag)
+            return
+        if self.stack is None:
+            return
+        if tag in self.stack:
+            self._pop_to(len(self.stack) - 1 - self.stack[::-1].index(tag))
+        elif tag == self.record.tag:
+            self._pop_to(0)
+            self.stack = None
 
     def handle_data(self, data):
         if self.raw or not self.open:
@@ -103,9 +117,9 @@ class _RecordParser(HTMLParser):
 
     def close(self):
         super().close()
-        if self.in_record:
-            self._close_fields()
-            self.in_record = False
+        if self.stack is not None:
+            self._pop_to(0)
+            self.stack = None
 
 
 def parse_records(html: str, record: FieldSpec, fields: dict[str, FieldSpec]) -> list[dict[str, list[str]]]:
