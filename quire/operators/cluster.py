@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from quire.operators import neighbors as NB
 from quire.operators import relational as R
 from quire.operators import vectors as V
-from quire.session import ensure_checkpoint_dir
+from quire.session import cut_lineage, ensure_checkpoint_dir
 
 NOISE = -1
 UNASSIGNED = -999
@@ -110,7 +110,8 @@ def kmeans_fit(df: DataFrame, k: int, seed: int = 42, n_init: int = 10, id_col:
     """K-means|| with ``n_init`` seeded restarts; the lowest-cost model wins.
 
     Returns (assignments(id, cluster), centers DataFrame(cluster, center), cost)."""
-    x = df.select(id_col, array_to_vector(V.as_double(vec_col)).alias("features")).cache()
+    x = df.select(id_col, array_to_vector(V.as_double(vec_col)).alias("features"))
+    x = cut_lineage(x)
     best = None
     for i in range(n_init):
         model = KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||").fit(x)

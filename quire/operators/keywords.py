@@ -4,7 +4,7 @@ The studied pipeline loops over clusters and fits one vectoriser per
 cluster in memory. Here the whole corpus is one long-format job keyed by
 (cluster, term):
 
-    docs ─explode terms─▶ (c, doc, term, tf)  ── persisted, used three times
+    docs ─explode terms─▶ (c, doc, term, tf)  ── checkpointed, read three times
            ├─ groupBy(c, term) → df, corpus count → df filters → top max_features per c
            ├─ ⋈ vocab on (c, term) → w = tf·idf ; groupBy(c, doc) → L2 norm
            └─ groupBy(c, term) Σ w/‖doc‖ / n_docs → top-k per cluster
@@ -24,10 +24,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.session import cut_lineage
+
 # ---- fixed values: stop-word lists of the two keyword profiles, as given ----
 INSPECT_STOPWORDS = (
     "da", "je", "sam", "se", "mi", "ne", "na", "rođendan", "ispovest", "ispovijest",
@@ -87,7 +88,7 @@ def cluster_tfidf(docs: DataFrame, cluster: str = "cluster_id", doc: str = "doc_
     docs = docs.select(F.col(cluster).alias("c"), F.col(doc).alias("d"), F.col(text).alias("t"))
     sizes = docs.groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
     tf = doc_terms(docs.join(sizes.select("c"), "c", "left_semi"), "c", "d", "t", stop_words)
-    tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
+    tf = cut_lineage(tf)  # read three times below; lineage cut in the shared checkpoint folder
 
     stats = tf.groupBy("c", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
     stats = stats.join(sizes, "c")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -19,6 +18,7 @@ from quire.plans.keywords import INSPECT_SQL, sql_tfidf
 from quire.plans.registry import register
 from quire.plans.vectors import META_K, META_MIN_DOCS, _base
 from quire.sources import fixtures as FX
+from quire.session import cut_lineage
 from quire.sources.tables import Tables
 
 TOK_SQL = "regexp_extract_all(lower({x}), '([\\pL\\pN_]{{2,}})', 1)"
@@ -43,9 +43,8 @@ FROM enc
 """, ("votes_by_text", "topic_corpus"))
 def lm_tokenize(spark, sf):
     """Training texts → fixed-length ids / mask / labels (pad masked to −100)."""
-    # read by the vocabulary and the encoder: persisted once (recomputable on loss)
-    ts = TS.training_set(scored_corpus(Tables(spark, sf))).select("doc_id", "text").persist(
-        StorageLevel.MEMORY_AND_DISK)
+    # read by the vocabulary and the encoder: written once to the checkpoint folder
+    ts = cut_lineage(TS.training_set(scored_corpus(Tables(spark, sf))).select("doc_id", "text"))
     enc = M.lm_encode(ts, "doc_id", "text", M.build_vocab(ts, "text"))
     j = lambda c: F.array_join(F.col(c).cast("array<string>"), ",")
     return enc.select("doc_id", "n_tokens", j("input_ids").alias("input_ids"),

@@ -16,6 +16,11 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # the driver keeps plan/metric history even with the UI off: keep it short
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.ui.retainedTasks": "10000",
     # top-k filters up to this size are pushed below the shuffle (WindowGroupLimit)
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
@@ -72,3 +77,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut_lineage(df):
+    """Reliable checkpoint in the shared checkpoint folder (never a local one)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
