@@ -123,3 +123,24 @@ def scan_table_project(spark, sf):
     """Projected scan of the posts table (3 of 6 columns reach the reader)."""
     _, path = _ingest(spark, sf)
     return TB.scan_posts(spark, path)
+
+
+@register("passthrough_update", f"""
+WITH sc AS (SELECT user_id, {Q.engagement_score('approve', 'disapprove')} AS s FROM votes)
+SELECT e.event_id,
+       CASE WHEN regexp_matches(e.props, '^\\s*[{{]\\s*[}}]\\s*$')
+            THEN '{{"engagement_score": ' || printf('%.4f', coalesce(sc.s, 0.0)) || '}}'
+            ELSE regexp_replace(e.props, '[}}]\\s*$', '') || ', "engagement_score": '
+                 || printf('%.4f', coalesce(sc.s, 0.0)) || '}}' END AS line
+FROM events e LEFT JOIN sc ON e.user_id = sc.user_id
+""", ("votes",))
+def passthrough_update(spark, sf):
+    """Each event's JSON payload gains its user's engagement score; all
+    other keys pass through untouched."""
+    t = Tables(spark, sf)
+    from quire.functions import scores as S
+
+    sc = FX.votes(t).select("user_id", S.engagement_score("approve", "disapprove").alias("s"))
+    e = t.events.select("event_id", "user_id", "props").join(sc, "user_id", "left")
+    val = F.format_string("%.4f", F.coalesce(F.col("s"), F.lit(0.0)))
+    return e.select("event_id", J.set_json_field("props", "engagement_score", val).alias("line"))

@@ -93,8 +93,8 @@ FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM labels)
 """
 
 TOPIC_LINES = """
-SELECT CAST(n_nationkey AS BIGINT) AS line_no,
-       CAST(n_nationkey AS VARCHAR) || ' ' || n_name || ' (' || CAST(n_regionkey AS VARCHAR) || ')' AS line
+SELECT CAST(n_nationkey + 1 AS BIGINT) AS line_no,
+       CAST(n_regionkey AS VARCHAR) || ' ' || n_name || ' (' || CAST(n_nationkey AS VARCHAR) || ')' AS line
 FROM nation
 """
 

@@ -3,7 +3,7 @@
 The pipeline's inputs (clustered posts, vote tables, topic files, ...) are
 derived here from the given tables with plain DataFrame operations, so every
 query's work grows with the tables. Each binding has a SQL twin in
-``quire.plans.oracle`` written independently for DuckDB.
+``quire.plans.sqlfrag`` (used by the oracle SQL) written independently for DuckDB.
 """
 
 from __future__ import annotations
@@ -65,11 +65,15 @@ def seen_hashes(t: Tables) -> DataFrame:
 
 
 def topic_lines(t: Tables) -> DataFrame:
-    """(line_no, line): a manual topic file, one ``<id> <topic> (comment)`` per line."""
+    """(line_no, line): a manual topic file ``<id> <topic> (comment)``, one line per nation.
+
+    The id is the region key, so ids repeat and the duplicate-id repair (W5)
+    has work to do; the comment holds the nation key.
+    """
     n = t.nation
-    return n.select(F.col("n_nationkey").cast("bigint").alias("line_no"),
-                    F.concat_ws(" ", F.col("n_nationkey").cast("string"), "n_name",
-                                F.concat(F.lit("("), F.col("n_regionkey").cast("string"), F.lit(")")))
+    return n.select((F.col("n_nationkey") + 1).cast("bigint").alias("line_no"),
+                    F.concat_ws(" ", F.col("n_regionkey").cast("string"), "n_name",
+                                F.concat(F.lit("("), F.col("n_nationkey").cast("string"), F.lit(")")))
                     .alias("line"))
 
 

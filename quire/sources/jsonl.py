@@ -98,6 +98,17 @@ def write_json_document(df: DataFrame, path: str, key_col: str | None = None) ->
     doc.coalesce(1).write.mode("overwrite").text(path)
 
 
+def set_json_field(line: str | Column, key: str, value_json: Column) -> Column:
+    """Add (or overwrite) one top-level field of a JSON-object line while
+    every other key passes through verbatim — the text is edited, not re-typed.
+    An existing key is shadowed by the appended one (last key wins on parse)."""
+    line = F.col(line) if isinstance(line, str) else line
+    pair = F.concat(F.lit('"' + key.replace('"', '\\"') + '": '), value_json)
+    empty = line.rlike("^\\s*\\{\\s*\\}\\s*$")
+    return F.when(empty, F.concat(F.lit("{"), pair, F.lit("}"))).otherwise(
+        F.concat(F.regexp_replace(line, "\\}\\s*$", ""), F.lit(", "), pair, F.lit("}")))
+
+
 def json_scalar(c: str | Column, path: str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.get_json_object(c, path)
