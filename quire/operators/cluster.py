@@ -33,12 +33,19 @@ UNASSIGNED = -999
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 200
                          ) -> DataFrame:
-    """(node, component) with component = smallest node id of its component."""
+    """(node, component) with component = smallest node id of its component.
+
+    Labels start at min(node, smallest neighbour) and then alternate
+    min-label propagation with pointer jumping (label ← label of label);
+    every round is checkpointed, and stops when no label changed.
+    """
     ensure_checkpoint_dir(edges.sparkSession)
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter(F.col("a") != F.col("b"))
-    e = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    e = cut_lineage(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     nodes = edges.select(F.col(src).alias("node")).unionByName(edges.select(F.col(dst).alias("node"))).distinct()
-    labels = nodes.select("node", F.col("node").alias("label")).checkpoint()
+    start = e.groupBy("a").agg(F.min("b").alias("m"))
+    labels = cut_lineage(nodes.join(start, nodes["node"] == start["a"], "left").select(
+        "node", F.least(F.col("node"), F.coalesce("m", "node")).alias("label")))
     for _ in range(max_rounds):
         nb = (e.join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
               .groupBy("a").agg(F.min("lb").alias("m")))
@@ -46,7 +53,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
                .select("node", F.least("label", F.coalesce("m", "label")).alias("label")))
         jump = new.select(F.col("node").alias("label"), F.col("label").alias("l2"))
         new = new.join(jump, "label", "left").select("node", F.least("label", F.coalesce("l2", "label")).alias("label"))
-        new = new.checkpoint()
+        new = cut_lineage(new)
         changed = (new.join(labels.select("node", F.col("label").alias("old")), "node")
                    .filter(F.col("label") != F.col("old")).limit(1).count())
         labels = new
@@ -55,19 +62,22 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     return labels.select("node", F.col("label").alias("component"))
 
 
-def core_distances(df: DataFrame, min_samples: int, id_col: str = "id", vec_col: str = "v", **kw) -> DataFrame:
+def core_distances(df: DataFrame, min_samples: int, id_col: str = "id", vec_col: str = "v", index=None,
+                   **kw) -> DataFrame:
     """Distance to the ``min_samples``-th nearest row counting the row itself."""
     k = max(min_samples - 1, 1)
-    nn = NB.knn(df, k, id_col, vec_col, **kw)
+    nn = NB.knn(df, k, id_col, vec_col, index=index, **kw)
     return nn.filter(F.col("rank") == k).select(id_col, F.col("dist").alias("core"))
 
 
 def density_cluster(df: DataFrame, eps: float, min_cluster_size: int = 10, min_samples: int = 3,
-                    id_col: str = "id", vec_col: str = "v", **kw) -> DataFrame:
-    """M7: (id, cluster_id) with −1 for noise."""
-    core = core_distances(df, min_samples, id_col, vec_col, **kw)
-    core_rows = df.select(id_col, vec_col).join(core.filter(F.col("core") <= eps), id_col, "left_semi")
-    stars = NB.range_components(core_rows, eps, id_col, vec_col, **kw)
+                    id_col: str = "id", vec_col: str = "v", n_pivots: int = 32, block_size: int = 512,
+                    seed: int = 42) -> DataFrame:
+    """M7: (id, cluster_id) with −1 for noise. One pivot index serves both passes."""
+    index = NB.index_cells(df, id_col, vec_col, n_pivots, block_size, seed)
+    core = core_distances(df, min_samples, id_col, vec_col, index=index)
+    core_ids = core.filter(F.col("core") <= eps).select(id_col)
+    stars = NB.range_components(df, eps, id_col, vec_col, index=index, keep=core_ids)
     comps = connected_components(stars, id_col, "root")
     sizes = comps.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_cluster_size)
     ranked = R.global_row_number(sizes, [F.col("n").desc(), F.col("component")], "_r")

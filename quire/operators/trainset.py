@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import relational as R
+from quire.session import cut_lineage
 from quire.sources.fixtures import MISC_TOPIC, UNASSIGNED
 
 # ---- fixed values ----
@@ -74,6 +75,9 @@ def training_set(scored: DataFrame, sample_n: int = SAMPLE_UNASSIGNED, extra_top
     ``scored`` has (doc_id, text, cluster, cluster_topic, engagement_score).
     Returns (doc_id, shuffle_pos, text).
     """
+    # the topic set, both branches of the union and the shuffle all read the
+    # scored corpus: write it once (stage boundary, lineage cut)
+    scored = cut_lineage(scored)
     flag = is_unassigned(F.col("cluster"), F.col("cluster_topic"))
     topics = topic_set(scored)
     clustered = scored.filter(~flag)
