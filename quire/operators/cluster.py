@@ -158,7 +158,7 @@ def average_linkage(points: DataFrame, n_clusters: int, id_col: str = "id", vec_
     Returns (id, meta_id) with meta ids numbered by smallest member id.
     """
     spark = points.sparkSession
-    ids, mat = V.collect_bounded_matrix(points, id_col, vec_col, max_points * 4096)
+    ids, mat = V.collect_bounded_matrix(points, id_col, vec_col, max_points * 4096, max_rows=max_points)
     if len(ids) > max_points:
         raise ValueError("too many points for agglomeration")
     unit = mat / np.linalg.norm(mat, axis=1, keepdims=True)

@@ -61,18 +61,19 @@ def centroids(df: DataFrame, group: str, vec: str) -> DataFrame:
 
 
 def collect_bounded_matrix(df: DataFrame, id_col: str, vec_col: str,
-                           max_elements: int = MAX_BROADCAST_ELEMENTS) -> tuple[np.ndarray, np.ndarray]:
+                           max_elements: int = MAX_BROADCAST_ELEMENTS, max_rows: int = 1_000_000
+                           ) -> tuple[np.ndarray, np.ndarray]:
     """Collect a small keyed matrix (e.g. k centroids) after checking its size.
 
-    Reads at most ``max_elements / 1`` rows; raises if the table is larger
-    than the bound, so an unbounded table can never be pulled whole.
+    At most ``max_rows + 1`` rows are read, and the job fails if the table is
+    larger than the bound, so an unbounded table can never be pulled whole.
     """
-    rows = df.select(id_col, vec_col).limit(max_elements + 1).collect()
+    rows = df.select(id_col, vec_col).limit(max_rows + 1).collect()
     if not rows:
         return np.zeros(0, dtype=np.int64), np.zeros((0, 0))
     d = len(rows[0][1])
-    if len(rows) * max(d, 1) > max_elements:
-        raise ValueError(f"matrix of {len(rows)}x{d} exceeds the broadcast bound {max_elements}")
+    if len(rows) > max_rows or len(rows) * max(d, 1) > max_elements:
+        raise ValueError(f"matrix of {len(rows)}x{d} exceeds the broadcast bound")
     rows.sort(key=lambda r: r[0])
     ids = np.array([r[0] for r in rows], dtype=np.int64)
     mat = np.array([r[1] for r in rows], dtype=np.float64)

@@ -49,6 +49,31 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+# Runtime SQL settings the operators rely on; applied to any session handed in
+# (static settings such as UI retention only apply to sessions built here).
+RUNTIME_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+MIN_WINDOW_GROUP_LIMIT = 10000
+
+
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Make a caller's session fit the plans: AQE (skew splits, coalescing),
+    Arrow, and a WindowGroupLimit threshold large enough for the per-cluster
+    top-8000 vocabulary filter to run partially below the shuffle."""
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    try:
+        cur = int(spark.conf.get(key))
+    except (TypeError, ValueError):
+        cur = 0
+    if cur < MIN_WINDOW_GROUP_LIMIT:
+        spark.conf.set(key, str(MIN_WINDOW_GROUP_LIMIT))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a scratch one only locally.
 

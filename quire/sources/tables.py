@@ -37,6 +37,9 @@ class Tables:
     """Attribute access to the tables of one scale factor: ``t.documents``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        from quire.session import apply_runtime_conf
+
+        apply_runtime_conf(spark)
         self.spark = spark
         self.sf_dir = sf_dir
 
