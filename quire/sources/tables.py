@@ -26,13 +26,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     if name not in TABLES:
         raise KeyError(name)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    want = spark.sparkContext.defaultParallelism
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    want = min(spark.sparkContext.defaultParallelism, max(1, -(-_size_bytes(spark, path) // SPREAD_BYTES)))
     if df.rdd.getNumPartitions() < want:
         df = df.repartition(want).filter(F.spark_partition_id() >= 0)
     return df
 
 
+# Compressed parquet bytes per task when spreading an under-split scan.
+SPREAD_BYTES = 1 << 20
+
+
+def _size_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
 class Tables:
     """Attribute access to the tables of one scale factor: ``t.documents``."""
 
