@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quire.functions import text as T
 from quire.operators import cluster as C
 from quire.operators import keywords as K
 from quire.operators import models as M
@@ -231,5 +230,3 @@ def meta_cluster_named(spark, sf):
     bk = bk.withColumn("crank", F.row_number().over(Window.partitionBy("meta_id").orderBy("base_id")))
     return bk.join(meta_names(bk), "meta_id").select(F.col("base_id").alias("cluster_id"), "meta_id", "meta_topic")
 
-
-_unused = (T, FX)
