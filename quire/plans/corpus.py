@@ -326,7 +326,7 @@ def dedupe_limit(spark, sf):
 # ------------------------------------------------- windows / samples --
 
 @register("first_n_per_cluster", """
-SELECT cluster_id, rn, doc_id FROM (
+SELECT cluster_id, CAST(rn AS INTEGER) AS rn, doc_id FROM (
   SELECT cluster_id, doc_id, row_number() OVER (PARTITION BY cluster_id ORDER BY doc_id) AS rn FROM clustered)
 WHERE rn <= 3
 """, ("clustered",))
@@ -337,7 +337,7 @@ def first_n_per_cluster(spark, sf):
 
 
 @register("sample_per_cluster", f"""
-SELECT cluster_id, sample_rank, doc_id FROM (
+SELECT cluster_id, CAST(sample_rank AS INTEGER) AS sample_rank, doc_id FROM (
   SELECT cluster_id, doc_id,
          row_number() OVER (PARTITION BY cluster_id ORDER BY {Q.sample_key('doc_id')}, doc_id) AS sample_rank
   FROM clustered)
