@@ -11,7 +11,7 @@ import pytest
 
 import __spark_entry__ as E
 from quire.sources.tables import TABLES
-from tools.oracle_check import digest
+from tools.oracle_check import digest, type_diff
 
 from .conftest import SF_SMALL
 
@@ -39,6 +39,7 @@ def test_matches_oracle(spark, con, key):
     drows = cur.fetchall()
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
+    assert type_diff(df, cur) == {}
     assert len(srows) == len(drows)
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
 
@@ -52,3 +53,14 @@ def test_every_key_has_a_callable():
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "avg_score" in df.columns
+
+
+PLAN_KEYS = [k for k in sorted(E.queries()) if not k.startswith(("stream_", "sink_", "ingest_", "scan_table"))]
+
+
+@pytest.mark.parametrize("key", PLAN_KEYS)
+def test_plan_has_no_pair_join(spark, key):
+    """Scale sanity: no cartesian / nested-loop joins anywhere in a registered plan."""
+    df = E.queries()[key](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
