@@ -40,6 +40,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     every round is checkpointed, and stops when no label changed.
     """
     ensure_checkpoint_dir(edges.sparkSession)
+    # the edge input feeds both the edge list and the node list: compute it once
+    edges = cut_lineage(edges.select(F.col(src).alias(src), F.col(dst).alias(dst)))
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter(F.col("a") != F.col("b"))
     e = cut_lineage(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     nodes = edges.select(F.col(src).alias("node")).unionByName(edges.select(F.col(dst).alias("node"))).distinct()
@@ -90,7 +92,8 @@ def density_cluster(df: DataFrame, eps: float, min_cluster_size: int = 10, min_s
 def hybrid_cluster(df: DataFrame, labels: DataFrame, id_col: str = "id", vec_col: str = "v") -> DataFrame:
     """M9: keep density labels; every noise row joins its most cosine-similar
     centroid (centroids over the clustered rows). → (id, cluster_id, from_noise, sim)."""
-    x = df.select(id_col, vec_col).join(labels, id_col)
+    # read by the centroid collection and by the final join: materialise once
+    x = cut_lineage(df.select(id_col, vec_col).join(labels, id_col))
     cents = V.centroids(x.filter(F.col("cluster_id") != NOISE), "cluster_id", vec_col)
     noise = x.filter(F.col("cluster_id") == NOISE)
     best = V.top_centroids(noise, cents, 1, id_col, vec_col, "cluster_id", "centroid").select(
@@ -104,7 +107,7 @@ def soft_assign(df: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col
                 vec_col: str = "v") -> DataFrame:
     """M8: noise rows join their nearest centroid if cosine ≥ threshold,
     otherwise −999; clustered rows keep their label. → (id, cluster)."""
-    x = df.select(id_col, vec_col).join(labels, id_col)
+    x = cut_lineage(df.select(id_col, vec_col).join(labels, id_col))
     cents = V.centroids(x.filter(F.col("cluster_id") != NOISE), "cluster_id", vec_col)
     noise = x.filter(F.col("cluster_id") == NOISE)
     best = V.top_centroids(noise, cents, 1, id_col, vec_col, "cluster_id", "centroid", min_sim=threshold).select(
