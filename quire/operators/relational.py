@@ -37,6 +37,8 @@ def dedupe_first(df: DataFrame, key: str | Sequence[str], order: str) -> DataFra
     """
     keys = _cols(key)
     rest = [c for c in df.columns if c not in keys]
+    if rest == [order]:  # nothing else to carry: a plain min stays in HashAggregate
+        return df.groupBy(*keys).agg(F.min(order).alias(order))
     packed = F.struct(*[F.col(c) for c in rest])
     return (df.groupBy(*keys).agg(F.min_by(packed, F.col(order)).alias("_r"))
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
