@@ -294,3 +294,50 @@ def test_kmeans_and_pca_shapes(spark, n):
     assert len(set(labels)) == 3 and cost > 0 and centers.count() == 3
     out, ev = C.pca_reduce(vec_df(spark, X), 2)
     assert out.count() == 90 and ev[0] >= ev[1]
+
+
+def test_read_jsonl_files_and_text_blocks(spark, tmp_path):
+    p = tmp_path / "a.jsonl"
+    p.write_text('{"text": "x", "n": 1}\n\nnot json\n{"n": 2}\n', encoding="utf-8")
+    schema = StructType([StructField("text", StringType())])
+    got = sorted((r["status"], r["text"]) for r in J.read_jsonl(spark, str(p), schema, ["text"]).collect())
+    assert got == [("bad_json", None), ("missing_key", None), ("ok", "x")]
+    from quire.sources import textfiles as TF
+
+    q = tmp_path / "prompts.txt"
+    q.write_text("[a] one\n\n\n[b] two\n\n", encoding="utf-8")
+    blocks = [r["block"] for r in TF.blocks(TF.read_text_files(spark, str(q))).orderBy("block_no").collect()]
+    assert blocks == ["[a] one", "[b] two"]
+
+
+def test_global_row_number_reused_input(spark):
+    """Regression: positions stay complete when the numbered frame is read twice."""
+    from quire.session import cut_lineage
+
+    df = cut_lineage(spark.range(0, 3000).withColumn("k", F.sha2(F.col("id").cast("string"), 256)))
+    a = R.global_row_number(df, [F.col("k")], "pos")
+    b = a.join(df.select("id"), "id")
+    assert b.count() == 3000 and b.agg(F.countDistinct("pos")).first()[0] == 3000
+
+
+def test_dedupe_stream_watermark(spark):
+    import datetime
+
+    from quire.session import scratch_path
+
+    src = tempfile.mkdtemp(prefix="quire-ev-")
+    t0 = datetime.datetime(2024, 1, 1)
+    rows = [(i, t0 + datetime.timedelta(minutes=i), f"p{i % 5}") for i in range(20)]
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp, props string")
+    ev.coalesce(1).write.parquet(os.path.join(src, "e"))
+    out = ST.dedupe_stream(spark, src + "/e", "*.parquet", ev.schema, ["props"], scratch_path(spark, "w"),
+                           scratch_path(spark, "wc"), watermark=("ts", "1 hour"))
+    assert sorted(r["props"] for r in out.collect()) == [f"p{i}" for i in range(5)]
+
+
+def test_runtime_conf_applied(spark):
+    from quire.session import apply_runtime_conf
+
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    apply_runtime_conf(spark)
+    assert int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")) >= 10000
