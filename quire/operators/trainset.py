@@ -14,6 +14,7 @@ from quire.sources.fixtures import MISC_TOPIC, UNASSIGNED
 SAMPLE_UNASSIGNED = 5000   # unassigned posts kept in the training set
 EXTRA_TOPICS = 1           # extra (other) topics appended per post
 SCORE_TAG = "engagement_score"
+MAX_TOPICS = 100_000       # bound on the broadcast topic set (one row per topic)
 
 
 def is_unassigned(cluster: Column, topic: Column) -> Column:
@@ -25,7 +26,10 @@ def topic_set(df: DataFrame, topic_col: str = "cluster_topic") -> DataFrame:
     """Distinct non-empty stripped lower-case topics, with a 1-based
     alphabetical rank (computed without a single-task window)."""
     t = df.select(T.topic_norm(F.col(topic_col)).alias("topic")).filter(F.col("topic") != "").distinct()
-    return R.global_row_number(t, [F.col("topic")], "topic_rank")
+    ranked = R.global_row_number(t, [F.col("topic")], "topic_rank")
+    # the set is broadcast by ``with_extra_topic``: fail rather than broadcast an unbounded table
+    return ranked.withColumn("topic_rank", F.when(F.col("topic_rank") > MAX_TOPICS, F.raise_error(
+        F.lit(f"more than {MAX_TOPICS} topics"))).otherwise(F.col("topic_rank")))
 
 
 def _hash_int(*parts: Column) -> Column:
@@ -41,7 +45,8 @@ def with_extra_topic(df: DataFrame, topics: DataFrame, id_col: str = "doc_id",
     Equivalent to ``join(topics, topic != main)`` + pick one, without
     materialising the pairs: candidates are the ranks 1..n except the main
     topic's rank, so the k-th candidate maps to rank k (+1 past the own rank).
-    ``topics`` is the bounded topic set (one row per topic).
+    ``topics`` is the topic set of ``topic_set`` (one row per topic, at most
+    MAX_TOPICS, checked there), so broadcasting it is bounded.
     """
     n = topics.agg(F.count(F.lit(1))).scalar()
     own = topics.select(F.col("topic").alias("_main"), F.col("topic_rank").alias("_own"))

@@ -104,7 +104,7 @@ def tag_keywords(spark, sf):
     """Keyword tags around each post (lookup default UNKNOWN)."""
     c = FX.clustered(Tables(spark, sf))
     kw = K.tag_keywords(c)
-    j = c.join(F.broadcast(kw), "cluster_id", "left")
+    j = c.join(kw, "cluster_id", "left")  # one row per cluster; AQE broadcasts it when small
     k = F.coalesce(F.col("keyword"), F.lit(K.UNKNOWN))
     return j.select("doc_id", TP.keyword_tag(k, T.py_strip(F.col("text"))).alias("text"))
 
