@@ -105,7 +105,7 @@ def cluster_tfidf(docs: DataFrame, cluster: str = "cluster_id", doc: str = "doc_
     wt = tf.join(vocab, ["c", "term"]).select("c", "d", "term", "n", (F.col("tf") * F.col("idf")).alias("w"))
     norms = wt.groupBy("c", "d").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     scored = (wt.join(norms, ["c", "d"])
-              .groupBy("c", "term").agg((F.sum(F.col("w") / F.col("norm")) / F.first("n")).alias("score")))
+              .groupBy("c", "term").agg((F.sum(F.col("w") / F.col("norm")) / F.max("n")).alias("score")))
     rank = Window.partitionBy("c").orderBy(F.round("score", 12).desc(), F.col("term").desc())
     top = scored.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= top_k)
     return top.select(F.col("c").alias(cluster), F.col("rank").cast("int").alias("rank"), "term", "score")
