@@ -59,6 +59,35 @@ RUNTIME_CONF = {
 MIN_WINDOW_GROUP_LIMIT = 10000
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20,
+                 max_partitions: int = 200_000) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of compressed parquet.
+
+    Text expands roughly 2-3x when decompressed and exploded into terms, so
+    shuffle partitions are sized for ~``target_partition_bytes`` of
+    2 x input each (AQE coalesces the small ones and splits skewed ones);
+    beyond ``max_partitions`` the partition size grows instead. Pass the
+    result as ``get_spark(extra=cluster_conf(n_bytes))`` or to spark-submit.
+    """
+    n = -(-2 * input_bytes // target_partition_bytes)
+    if n > max_partitions:
+        target_partition_bytes = -(-2 * input_bytes // max_partitions)
+        n = max_partitions
+    n = max(n, 200)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # broadcast only what AQE measured to be small at run time
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Make a caller's session fit the plans: AQE (skew splits, coalescing),
     Arrow, and a WindowGroupLimit threshold large enough for the per-cluster
