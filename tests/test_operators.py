@@ -56,13 +56,13 @@ def test_html_extract_cases():
 
 
 def test_html_class_and_id_prefix():
-    h = ('<div class="confession"><div class="confession-text"> x <b>y</b> </div>'
-         '<div class="confession-value" id="approve-count-7">12</div>'
-         '<div class="confession-value" id="disapprove-count-7">3</div></div>')
-    recs = H.parse_records(h, H.FieldSpec("div", "confession"), {
-        "text": H.FieldSpec("div", "confession-text"),
-        "approve": H.FieldSpec("div", "confession-value", "approve-count-"),
-        "disapprove": H.FieldSpec("div", "confession-value", "disapprove-count-")})
+    h = ('<div class="post"><div class="post-text"> x <b>y</b> </div>'
+         '<div class="post-value" id="approve-count-7">12</div>'
+         '<div class="post-value" id="disapprove-count-7">3</div></div>')
+    recs = H.parse_records(h, H.FieldSpec("div", "post"), {
+        "text": H.FieldSpec("div", "post-text"),
+        "approve": H.FieldSpec("div", "post-value", "approve-count-"),
+        "disapprove": H.FieldSpec("div", "post-value", "disapprove-count-")})
     assert recs == [{"text": ["xy"], "approve": ["12"], "disapprove": ["3"]}]
 
 
