@@ -27,6 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key in _SCANS:
+        return _SCANS[key]
+    df = _scan(spark, path)
+    _SCANS[key] = df
+    return df
+
+
+# One planned scan per (application, path): file listing and split planning
+# happen once, however often a query reads the table.
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
     want = min(spark.sparkContext.defaultParallelism, max(1, -(-_size_bytes(spark, path) // SPREAD_BYTES)))
     if df.rdd.getNumPartitions() < want:
