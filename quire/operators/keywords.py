@@ -111,9 +111,10 @@ def cluster_tfidf(docs: DataFrame, cluster: str = "cluster_id", doc: str = "doc_
     return top.select(F.col("c").alias(cluster), F.col("rank").cast("int").alias("rank"), "term", "score")
 
 
-def inspect_keywords(clustered: DataFrame, top_k: int = 10) -> DataFrame:
-    """M3a profile: n ≥ 20 docs, df ≥ 5, df ≤ 0.8·n, 8,000 features, top 10; noise excluded."""
-    docs = clustered.filter(F.col("cluster_id") != -1)
+def inspect_keywords(clustered: DataFrame, top_k: int = 10, include_noise: bool = False) -> DataFrame:
+    """M3a profile: n ≥ 20 docs, df ≥ 5, df ≤ 0.8·n, 8,000 features, top 10; noise
+    excluded unless ``include_noise`` (then −1 is profiled like any cluster)."""
+    docs = clustered if include_noise else clustered.filter(F.col("cluster_id") != -1)
     return cluster_tfidf(docs, stop_words=INSPECT_STOPWORDS, min_df=5, max_df=0.8, max_features=8000,
                          top_k=top_k, min_docs=20)
 

@@ -121,3 +121,10 @@ def top_centroids(df: DataFrame, cents: DataFrame, k: int = 1, id_col: str = "id
     id_type = df.schema[id_col].dataType.simpleString()
     schema = f"{id_col} {id_type}, rank int, {cid_col} int, sim double"
     return df.select(id_col, vec_col).mapInPandas(assign, schema)
+
+
+def as_parallel_arrays(top: DataFrame, id_col: str = "id", cid_col: str = "cluster_id") -> DataFrame:
+    """J8 output contract: (id, cluster_ids array<int>, cluster_scores array<double>) in rank
+    order; one bounded group (k rows) per id."""
+    g = top.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("rank", cid_col, "sim"))).alias("_t"))
+    return g.select(id_col, F.col(f"_t.{cid_col}").alias("cluster_ids"), F.col("_t.sim").alias("cluster_scores"))

@@ -109,22 +109,29 @@ def tag_keywords(spark, sf):
     return j.select("doc_id", TP.keyword_tag(k, T.py_strip(F.col("text"))).alias("text"))
 
 
-@register("cluster_inspection", f"""
-WITH {INSPECT_SQL.strip()},
+def _inspection_sql(include_noise: bool) -> str:
+    where = "" if include_noise else "WHERE cluster_id <> -1"
+    tfidf = sql_tfidf(f"SELECT cluster_id AS c, doc_id AS d, text AS t FROM clustered {where}",
+                      K.INSPECT_STOPWORDS, 5, 0.8, 8000, 10, 20)
+    return f"""
+WITH {tfidf.strip()},
 kws AS (SELECT c, string_agg(term, ', ' ORDER BY rank) AS keywords FROM top GROUP BY c),
 smp AS (SELECT cluster_id, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY rk) AS sample_ids FROM (
           SELECT cluster_id, doc_id,
                  row_number() OVER (PARTITION BY cluster_id ORDER BY {Q.sample_key('doc_id')}, doc_id) AS rk
-          FROM clustered WHERE cluster_id <> -1) WHERE rk <= 5 GROUP BY cluster_id),
-sz AS (SELECT cluster_id, count(*) AS size FROM clustered WHERE cluster_id <> -1 GROUP BY cluster_id)
+          FROM clustered {where}) WHERE rk <= 5 GROUP BY cluster_id),
+sz AS (SELECT cluster_id, count(*) AS size FROM clustered {where} GROUP BY cluster_id)
 SELECT sz.cluster_id, CAST(sz.size AS BIGINT) AS size, coalesce(kws.keywords, '') AS keywords, smp.sample_ids
 FROM sz LEFT JOIN kws ON sz.cluster_id = kws.c JOIN smp ON sz.cluster_id = smp.cluster_id
-""", ("clustered",))
-def cluster_inspection(spark, sf):
-    """M4: size + top-10 keywords + 5 seeded samples per cluster (noise excluded)."""
-    c = FX.clustered(Tables(spark, sf)).filter(F.col("cluster_id") != FX.NOISE)
+"""
+
+
+def _inspection(spark, sf, include_noise: bool):
+    c = FX.clustered(Tables(spark, sf))
+    if not include_noise:
+        c = c.filter(F.col("cluster_id") != FX.NOISE)
     sizes = R.count_by(c, "cluster_id", "size")
-    kws = K.inspect_keywords(c).groupBy("cluster_id").agg(
+    kws = K.inspect_keywords(c, include_noise=include_noise).groupBy("cluster_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"]),
                      ", ").alias("keywords"))
     smp = R.sample_per_group(c.select("cluster_id", "doc_id"), "cluster_id", "doc_id", 5).groupBy("cluster_id").agg(
@@ -134,6 +141,18 @@ def cluster_inspection(spark, sf):
     return out.select("cluster_id", "size", F.coalesce("keywords", F.lit("")).alias("keywords"), "sample_ids")
 
 
+@register("cluster_inspection", _inspection_sql(False), ("clustered",))
+def cluster_inspection(spark, sf):
+    """M4: size + top-10 keywords + 5 seeded samples per cluster (noise excluded)."""
+    return _inspection(spark, sf, False)
+
+
+@register("cluster_inspection_noise", _inspection_sql(True), ("clustered",))
+def cluster_inspection_noise(spark, sf):
+    """M4 with ``include_noise``: the noise group (−1) is inspected like a cluster."""
+    return _inspection(spark, sf, True)
+
+
 @register("cluster_summary", f"""
 WITH {TAG_KW_SQL.strip()},
 g AS (SELECT cluster_id, count(*) AS num_texts, min(doc_id) AS first_id FROM clustered GROUP BY cluster_id),

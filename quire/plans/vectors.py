@@ -89,6 +89,25 @@ def multi_assign(spark, sf):
     return top.select("vec_id", "rank", F.col("label").alias("cluster_id"), F.round("sim", 6).alias("score"))
 
 
+@register("multi_assign_arrays", f"""
+WITH {CENT_SQL},
+s AS (SELECT r.vec_id, c.label AS cluster_id, list_cosine_similarity(r.v, c.c) AS sim FROM raw r, cents c),
+t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, cluster_id) AS rank
+                     FROM s) WHERE rank <= 3)
+SELECT vec_id, array_to_string(list(cluster_id ORDER BY rank), ',') AS cluster_ids,
+       array_to_string(list(printf('%.6f', sim) ORDER BY rank), ',') AS cluster_scores
+FROM t GROUP BY vec_id
+""")
+def multi_assign_arrays(spark, sf):
+    """J8 in its output contract: parallel arrays of the top-3 cluster ids and scores."""
+    r = raw(Tables(spark, sf))
+    top = V.top_centroids(r, V.centroids(r, "label", "v"), 3, "vec_id", "v", "label", "centroid")
+    arr = V.as_parallel_arrays(top.withColumnRenamed("label", "cluster_id"), "vec_id")
+    return arr.select("vec_id", F.array_join(F.col("cluster_ids").cast("array<string>"), ",").alias("cluster_ids"),
+                      F.array_join(F.transform("cluster_scores", lambda x: F.format_string("%.6f", x)), ",")
+                      .alias("cluster_scores"))
+
+
 @register("knn_join", f"""
 WITH {RAW_SQL},
 p AS (SELECT a.vec_id, b.vec_id AS nbr_id, list_distance(a.v, b.v) AS d FROM raw a, raw b WHERE a.vec_id <> b.vec_id)
