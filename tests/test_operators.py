@@ -341,3 +341,20 @@ def test_runtime_conf_applied(spark):
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
     apply_runtime_conf(spark)
     assert int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")) >= 10000
+
+
+def test_strict_scan_fails_on_bad_line(spark):
+    df = spark.createDataFrame([(1, '{"text": "a"}'), (2, "oops")], "i int, line string")
+    schema = StructType([StructField("text", StringType())])
+    with pytest.raises(Exception):
+        J.parse_json_lines_strict(df, schema, "line", ["i"]).collect()
+
+
+def test_jsonl_sink_keeps_nulls_and_unicode(spark, tmp_path):
+    df = spark.createDataFrame([(1, "čćž", None)], "id long, text string, topic string")
+    out = str(tmp_path / "out")
+    J.write_jsonl(df, out)
+    import glob
+
+    text = "".join(open(f, encoding="utf-8").read() for f in glob.glob(out + "/*.json"))
+    assert '"topic":null' in text and "čćž" in text
