@@ -358,3 +358,13 @@ def test_jsonl_sink_keeps_nulls_and_unicode(spark, tmp_path):
 
     text = "".join(open(f, encoding="utf-8").read() for f in glob.glob(out + "/*.json"))
     assert '"topic":null' in text and "čćž" in text
+
+
+def test_generate_factory_called_per_task(spark):
+    df = spark.createDataFrame([(i, f"p {i}") for i in range(6)], "id long, p string").repartition(2)
+
+    def factory():
+        return lambda prompts: [p + " !" for p in prompts]
+
+    out = {r["id"]: r["continuation"] for r in M.generate(df, "p", "id", factory=factory).collect()}
+    assert out == {i: "!" for i in range(6)}
