@@ -6,7 +6,7 @@ cluster in memory. Here the whole corpus is one long-format job keyed by
 
     docs ─explode terms─▶ (c, doc, term, tf)  ── checkpointed, read three times
            ├─ groupBy(c, term) → df, corpus count → df filters → top max_features per c
-           ├─ ⋈ vocab on (c, term) → w = tf·idf ; groupBy(c, doc) → L2 norm
+           ├─ ⋈ vocab on (c, term) → w = tf·idf ; window over (c, doc) → L2 norm
            └─ groupBy(c, term) Σ w/‖doc‖ / n_docs → top-k per cluster
 
 Formula (the vectoriser's documented defaults): raw tf; idf = ln((1+n)/(1+df)) + 1;
@@ -103,9 +103,11 @@ def cluster_tfidf(docs: DataFrame, cluster: str = "cluster_id", doc: str = "doc_
                          (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
 
     wt = tf.join(vocab, ["c", "term"]).select("c", "d", "term", "n", (F.col("tf") * F.col("idf")).alias("w"))
-    norms = wt.groupBy("c", "d").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    scored = (wt.join(norms, ["c", "d"])
-              .groupBy("c", "term").agg((F.sum(F.col("w") / F.col("norm")) / F.max("n")).alias("score")))
+    # document L2 norm over its retained terms: a window over one document (bounded
+    # group), one shuffle instead of an aggregate joined back
+    doc = Window.partitionBy("c", "d")
+    wn = wt.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(doc)))
+    scored = wn.groupBy("c", "term").agg((F.sum(F.col("w") / F.col("norm")) / F.max("n")).alias("score"))
     rank = Window.partitionBy("c").orderBy(F.round("score", 12).desc(), F.col("term").desc())
     top = scored.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= top_k)
     return top.select(F.col("c").alias(cluster), F.col("rank").cast("int").alias("rank"), "term", "score")
