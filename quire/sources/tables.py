@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, id(spark), path)
     if key in _SCANS:
         return _SCANS[key]
     df = _scan(spark, path)
@@ -35,9 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-# One planned scan per (application, path): file listing and split planning
-# happen once, however often a query reads the table.
-_SCANS: dict[tuple[str, str], DataFrame] = {}
+# One planned scan per (application, session, path): file listing and split
+# planning happen once, however often a query reads the table.
+_SCANS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def _scan(spark: SparkSession, path: str) -> DataFrame:
