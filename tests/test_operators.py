@@ -368,3 +368,13 @@ def test_generate_factory_called_per_task(spark):
 
     out = {r["id"]: r["continuation"] for r in M.generate(df, "p", "id", factory=factory).collect()}
     assert out == {i: "!" for i in range(6)}
+
+
+def test_cluster_conf_sizing():
+    from quire.session import cluster_conf
+
+    small = cluster_conf(15 << 20)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    big = cluster_conf(100 << 40)
+    n, size = int(big["spark.sql.shuffle.partitions"]), int(big["spark.sql.adaptive.advisoryPartitionSizeInBytes"])
+    assert n == 200_000 and n * size >= 2 * (100 << 40)
