@@ -72,8 +72,9 @@ def ngrams(toks: Column, n_max: int = 2) -> Column:
 def doc_terms(docs: DataFrame, cluster: str = "cluster_id", doc: str = "doc_id", text: str = "text",
               stop_words: Sequence[str] = (), n_max: int = 2) -> DataFrame:
     """M2 + A9: (cluster, doc, term, tf); per-doc counts are partial-aggregated map-side."""
-    g = docs.select(F.col(cluster).alias("c"), F.col(doc).alias("d"),
-                    F.explode(ngrams(tokens(F.col(text), stop_words), n_max)).alias("term"))
+    # tokens first (one regex pass per document), then the n-grams of that column
+    t = docs.select(F.col(cluster).alias("c"), F.col(doc).alias("d"), tokens(F.col(text), stop_words).alias("_tk"))
+    g = t.select("c", "d", F.explode(ngrams(F.col("_tk"), n_max)).alias("term"))
     return g.groupBy("c", "d", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

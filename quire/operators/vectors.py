@@ -34,11 +34,21 @@ def norm(v) -> Column:
     return F.sqrt(dot(v, v))
 
 
+def scale_by_norm(v) -> Column:
+    """v / |v| with the norm evaluated once per row.
+
+    A norm referenced inside a ``transform`` lambda would be re-evaluated for
+    every element (quadratic in the dimension); pairing the vector with a
+    repeated norm via ``zip_with`` keeps it linear.
+    """
+    v = _col(v)
+    n = F.array_repeat(norm(v), F.size(v))
+    return F.zip_with(v, n, lambda x, m: F.when(m > 0, x / m).otherwise(x))
+
+
 def l2_normalize(v) -> Column:
     """v / |v| (a zero vector stays zero)."""
-    v = _col(v)
-    n = norm(v)
-    return F.transform(v, lambda x: F.when(n > 0, x / n).otherwise(x))
+    return scale_by_norm(v)
 
 
 def cosine(a, b) -> Column:

@@ -88,5 +88,6 @@ def anchored(t: Tables) -> DataFrame:
     x = F.transform(F.col("embedding"), lambda v, i: v.cast("double")
                     + F.when((i == F.col("label")) & (F.col("vec_id") % 7 != 0), F.lit(2.0)).otherwise(F.lit(0.0)))
     e = e.select("vec_id", "label", x.alias("x"))
-    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v * v))
-    return e.select("vec_id", F.transform("x", lambda v: v / norm).alias("v"), "label")
+    # norm evaluated once per row (not inside the element lambda)
+    norm = F.array_repeat(F.sqrt(F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v * v)), F.size("x"))
+    return e.select("vec_id", F.zip_with("x", norm, lambda v, m: v / m).alias("v"), "label")
