@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.session import scratch_path
+
 PIECE = 1 << 21  # bytes of text hashed at once
 
 _IS_WORD = np.zeros(256, dtype=bool)
@@ -127,3 +129,11 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """The rows written as Parquet in the shared folder (see ``spark.checkpoint.dir``)
+    and read again: computed once, and not lost with an executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import sha256
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import bpe
+from quire.llm import bpe, jaccard, pii
 from quire.llm.common import table
 
 QUERIES: dict = {}
@@ -22,6 +26,27 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the base spans, and all spans, of every document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [[[(x["start"], x["end"], x["kind"]) for x in row] for row in batch.column(c).to_pylist()] for c in ("base", "spans")]
+            counts = [pa.array([sum(k == kind for _, _, k in row) for row in told[0]], pa.int64()) for kind in pii.KINDS]
+            digest = [sha256(pii.told(row).encode()).hexdigest() for row in told[0]]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array(digest, pa.string()), pa.array([pii.told(row) for row in told[1]], pa.string())],
+                                             names=["doc_id", *(f"n_{k}" for k in pii.KINDS), "base_sha256", "spans"])
+
+    columns = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    return pii.detect(table(spark, sf_dir, "documents")).mapInArrow(run, columns)
+
+
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path(), ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return jaccard.join(table(spark, sf_dir, "documents"))
