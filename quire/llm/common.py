@@ -53,10 +53,11 @@ def text_buffer(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return raw, o - lo
 
 
-def word_table(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_table(raw: np.ndarray, offsets: np.ndarray, head: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and for each row the index of its first word.
 
-    Second result has one entry more than there are rows.
+    Second result has one entry more than there are rows. With ``head``, only
+    the first bytes of each word count.
     """
     n, hashes, firsts = len(raw), [], np.zeros(len(offsets), np.int64)
     starts_seen, row_lo, lo = 0, 0, 0
@@ -86,6 +87,10 @@ def word_table(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
             first = np.searchsorted(idx, at)
             per = np.diff(np.append(first, len(idx)))
             pos = np.arange(len(idx), dtype=np.int32) - np.repeat(first, per).astype(np.int32)
+            if head:
+                idx, pos = idx[pos < head], pos[pos < head]
+                per = np.minimum(per, head)
+                first = np.concatenate(([0], np.cumsum(per)[:-1]))
             long = pos >= _POS
             if long.any():
                 pos = np.where(long, pos % _POS, pos)

@@ -8,7 +8,7 @@ from hashlib import sha256
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import bpe, jaccard, pii
+from quire.llm import bpe, jaccard, pii, toxicity
 from quire.llm.common import table
 
 QUERIES: dict = {}
@@ -26,6 +26,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grade and expected severity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digest of the base spans, and all spans, of every document."""
