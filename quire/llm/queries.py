@@ -8,7 +8,7 @@ from hashlib import sha256
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import bpe, jaccard, pii, toxicity
+from quire.llm import bpe, decontaminate, jaccard, pii, toxicity
 from quire.llm.common import table
 
 QUERIES: dict = {}
@@ -26,6 +26,12 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that they hold."""
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grade and expected severity of every document."""

@@ -38,7 +38,8 @@ GRADES = 4
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4096, 8192
 HEAD = 4              # bytes of a word that make its stem feature
 LEAST_SEEN = 3        # toxic sample documents that a marker needs
-LEAST_Z = 4.0         # standard errors between its rates
+LEAST_Z = 6.0         # standard errors between its rates
+LEAST_LIFT = 4.0      # times that its rate in toxic documents is that in clean ones
 MARKERS = 50_000      # most markers kept, strongest first
 SHRINK, STEPS = 1e-3, 300
 
@@ -148,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     seen = rows.select("toxic", F.explode("f").alias("f")).groupBy("f").agg(F.sum(F.col("toxic").cast("long")).alias("a"), F.sum((~F.col("toxic")).cast("long")).alias("b"))
     rate = (F.col("a") + F.col("b")) / F.lit(pos + neg)
     z = (F.col("a") / pos - F.col("b") / neg) / F.sqrt(rate * (1 - rate) * (1 / pos + 1 / neg) + 1e-12)
-    best = seen.withColumn("z", z).filter((F.col("a") >= LEAST_SEEN) & (F.col("z") >= LEAST_Z)).orderBy(F.desc("z"), "f").limit(MARKERS).select("f").collect()
+    best = seen.withColumn("z", z).filter((F.col("a") >= LEAST_SEEN) & (F.col("z") >= LEAST_Z) & (F.col("a") / pos >= LEAST_LIFT * F.col("b") / neg)).orderBy(F.desc("z"), "f").limit(MARKERS).select("f").collect()
     markers = np.sort(np.array([r["f"] for r in best], np.int64))
     if not len(markers):
         return none
