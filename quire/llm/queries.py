@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, decontaminate, jaccard, pii, rabitq, reputation, toxicity, warc
+from quire.llm import bpe, chat, decontaminate, jaccard, licenses, pii, rabitq, reputation, toxicity, warc
 from quire.llm.common import table
 
 QUERIES: dict = {}
@@ -99,6 +99,17 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels and places of license phrases in every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
+                        F.array_join("labels", ",").alias("labels"), "score")
+
+
+ORACLE["op9_licenses"] = licenses.digest_sql()
+
+
 @query
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record, and the archives read back."""
