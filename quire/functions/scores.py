@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# An integer literal as Python's int() accepts it (ASCII digits, optional sign,
-# surrounding whitespace). Anything else parses to the default.
-INT_LITERAL = "^\\s*[+-]?[0-9]+\\s*$"
+# An integer literal as Python's int() accepts it (ASCII digits, single
+# underscores between them, optional sign, surrounding whitespace). Anything else parses to the default.
+INT_LITERAL = "^\\s*[+-]?[0-9]+(_[0-9]+)*\\s*$"
 
 
 def _col(c) -> Column:
@@ -15,9 +15,12 @@ def _col(c) -> Column:
 
 
 def parse_int(c, default: int = 0) -> Column:
-    """integer value of a string/number column, ``default`` when it is not one."""
-    s = F.trim(_col(c).cast("string"), F.lit(" \t\n\r\f\u000b"))
-    v = F.when(s.rlike(INT_LITERAL), s.try_cast("bigint"))
+    """integer value of a string/number column, ``default`` when it is not one.
+    Numbers with a fraction are cut towards zero; a string with one is no integer."""
+    c = _col(c)
+    s = F.trim(c.cast("string"), F.lit(" \t\n\r\f\u000b"))
+    v = F.when(F.typeof(c).rlike("^(double|float|decimal)"), c.try_cast("bigint")).when(
+        s.rlike(INT_LITERAL), F.replace(s, F.lit("_"), F.lit("")).try_cast("bigint"))
     return F.coalesce(v, F.lit(default).cast("bigint"))
 
 

@@ -31,13 +31,13 @@ NOISE = -1
 UNASSIGNED = -999
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 200
-                         ) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(node, component) with component = smallest node id of its component.
 
     Labels start at min(node, smallest neighbour) and then alternate
     min-label propagation with pointer jumping (label ← label of label);
-    every round is checkpointed, and stops when no label changed.
+    every round is checkpointed, and the loop ends when no label changed (labels
+    only fall, so it always does).
     """
     ensure_checkpoint_dir(edges.sparkSession)
     # the edge input feeds both the edge list and the node list: compute it once
@@ -48,7 +48,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     start = e.groupBy("a").agg(F.min("b").alias("m"))
     labels = cut_lineage(nodes.join(start, nodes["node"] == start["a"], "left").select(
         "node", F.least(F.col("node"), F.coalesce("m", "node")).alias("label")))
-    for _ in range(max_rounds):
+    while True:
         nb = (e.join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
               .groupBy("a").agg(F.min("lb").alias("m")))
         new = (labels.join(nb, labels["node"] == nb["a"], "left")
@@ -164,7 +164,8 @@ def average_linkage(points: DataFrame, n_clusters: int, id_col: str = "id", vec_
     ids, mat = V.collect_bounded_matrix(points, id_col, vec_col, max_points * 4096, max_rows=max_points)
     if len(ids) > max_points:
         raise ValueError("too many points for agglomeration")
-    unit = mat / np.linalg.norm(mat, axis=1, keepdims=True)
+    norm = np.linalg.norm(mat, axis=1, keepdims=True)
+    unit = np.divide(mat, norm, out=np.zeros_like(mat), where=norm > 0)  # a zero vector is at distance 1 from all
     groups = {int(i): (unit[j].copy(), 1) for j, i in enumerate(ids)}
     merges = []  # (height, a, b, new)
     next_id = int(ids.max()) + 1 if len(ids) else 0
@@ -175,14 +176,16 @@ def average_linkage(points: DataFrame, n_clusters: int, id_col: str = "id", vec_
         nn = _nearest_groups(spark, gid, S, n)
         partner = dict(zip(nn["g"].tolist(), nn["nn"].tolist()))
         height = dict(zip(nn["g"].tolist(), nn["d"].tolist()))
-        for a in sorted(partner):
-            b = partner[a]
-            if a < b and partner.get(b) == a:
-                sa, na = groups.pop(a)
-                sb, nb = groups.pop(b)
-                groups[next_id] = (sa + sb, na + nb)
-                merges.append((height[a], a, b, next_id))
-                next_id += 1
+        pairs = [(a, b) for a, b in sorted(partner.items()) if a < b and partner.get(b) == a]
+        if not pairs:  # ties in the last bit only: the nearest pair of all merges
+            a = min(partner, key=lambda g: (height[g], g))
+            pairs = [(min(a, partner[a]), max(a, partner[a]))]
+        for a, b in pairs:
+            sa, na = groups.pop(a)
+            sb, nb = groups.pop(b)
+            groups[next_id] = (sa + sb, na + nb)
+            merges.append((min(height[a], height[b]), a, b, next_id))
+            next_id += 1
     merges.sort(key=lambda m: (m[0], m[3]))
     parent = {}
 

@@ -30,7 +30,7 @@ def _cols(cols) -> list[str]:
 # ---------------------------------------------------------------- dedupe --
 
 def dedupe_first(df: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
-    """Keep the first row (smallest ``order``) of every key.
+    """Keep the first row (smallest ``order``, null last) of every key.
 
     Aggregate form: partial aggregation keeps one candidate per key per
     map task, so a hot key never gathers in one task.
@@ -40,16 +40,17 @@ def dedupe_first(df: DataFrame, key: str | Sequence[str], order: str) -> DataFra
     if rest == [order]:  # nothing else to carry: a plain min stays in HashAggregate
         return df.groupBy(*keys).agg(F.min(order).alias(order))
     packed = F.struct(*[F.col(c) for c in rest])
-    return (df.groupBy(*keys).agg(F.min_by(packed, F.col(order)).alias("_r"))
+    return (df.groupBy(*keys).agg(F.min_by(packed, F.struct(F.col(order).isNull(), F.col(order))).alias("_r"))
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
 def dedupe_last(df: DataFrame, key: str | Sequence[str], order: str) -> DataFrame:
-    """Dict-overwrite semantics — the row with the largest ``order`` wins."""
+    """Dict-overwrite semantics — the row with the largest ``order`` wins
+    (null is smaller than any)."""
     keys = _cols(key)
     rest = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in rest])
-    return (df.groupBy(*keys).agg(F.max_by(packed, F.col(order)).alias("_r"))
+    return (df.groupBy(*keys).agg(F.max_by(packed, F.struct(F.col(order).isNotNull(), F.col(order))).alias("_r"))
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 

@@ -308,7 +308,7 @@ def combine_archives(spark, sf):
     a = t.documents.select(F.lit(0).alias("archive"), F.col("doc_id").alias("id"), "text")
     b = t.benchmark.select(F.lit(1).alias("archive"), F.col("item_id").alias("id"), "text")
     u = a.unionByName(b).select("archive", "id", T.content_hash(F.col("text")).alias("hash"),
-                                (F.col("archive").cast("bigint") * F.lit(1_000_000_000_000) + F.col("id")).alias("o"))
+                                F.struct("archive", F.col("id")).alias("o"))
     return R.dedupe_first(u, "hash", "o").select("hash", F.col("archive").cast("int").alias("archive"), "id")
 
 

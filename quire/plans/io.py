@@ -95,7 +95,7 @@ def sink_json_document(spark, sf):
 POSTS_SQL = f"""
 raw AS (SELECT d.doc_id AS ord, d.text, v.approve, v.disapprove FROM documents d
         LEFT JOIN votes v ON v.user_id = d.doc_id),
-posts AS (SELECT CAST(row_number() OVER (ORDER BY ord) AS BIGINT) AS id, coalesce(text, '') AS text,
+posts AS (SELECT CAST(row_number() OVER (ORDER BY ord) AS BIGINT) AS id, {Q.strip("coalesce(text, '')")} AS text,
                  {Q.parse_int('approve')} AS approve_count, {Q.parse_int('disapprove')} AS disapprove_count,
                  CAST(NULL AS VARCHAR) AS timestamp_raw, 'archive' AS source FROM raw)
 """

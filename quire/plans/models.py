@@ -185,7 +185,7 @@ def meta_names(bk):
     toks = bk.select("meta_id", "crank", F.posexplode(F.split("keyword", "_")).alias("tpos", "tok")).filter(
         F.col("tok") != "")
     freq = toks.groupBy("meta_id", "tok").agg(F.count(F.lit(1)).alias("cnt"),
-                                              F.min(F.col("crank") * 100000 + F.col("tpos") + 1).alias("first"))
+                                              F.min(F.struct("crank", "tpos")).alias("first"))
     top = R.first_n_per_group(freq, "meta_id", [F.col("cnt").desc(), F.col("first")], 3, "r")
     name = top.groupBy("meta_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "tok"))),
                                                                lambda s: s["tok"]), "_").alias("name"))

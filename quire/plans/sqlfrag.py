@@ -41,8 +41,8 @@ def content_hash(e: str) -> str:
 
 def parse_int(e: str) -> str:
     s = f"CAST({e} AS VARCHAR)"
-    return (f"COALESCE(CASE WHEN regexp_full_match({s}, '\\s*[+-]?[0-9]+\\s*') "
-            f"THEN TRY_CAST(trim({s}) AS BIGINT) END, 0)")
+    return (f"COALESCE(CASE WHEN regexp_full_match({s}, '\\s*[+-]?[0-9]+(_[0-9]+)*\\s*') "
+            f"THEN TRY_CAST(replace(trim({s}), '_', '') AS BIGINT) END, 0)")
 
 
 def engagement_score(a: str, d: str, digits: int = 4) -> str:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from quire.functions import text as T
 
@@ -26,17 +26,27 @@ def _with_corrupt(schema: StructType) -> StructType:
     return StructType(list(schema.fields) + [StructField(BAD, StringType(), True)])
 
 
+def _typed(value: Column, kind: DataType) -> Column:
+    """A field's JSON text as its type, null where it doesn't fit."""
+    if isinstance(kind, (StructType, ArrayType, MapType)):
+        return F.from_json(value, kind, {"mode": "PERMISSIVE"})
+    return value if isinstance(kind, StringType) else value.try_cast(kind)
+
+
 def parse_json_lines(df: DataFrame, schema: StructType, line_col: str = "line",
                      required: Sequence[str] = (), keys: Sequence[str] = ()) -> DataFrame:
     """S1 over a column of lines: strip, skip blanks, classify each line.
 
     Adds ``status`` ∈ {ok, bad_json, missing_key} and the schema fields.
     A key counts as missing when absent from the object (a present null is
-    kept, as a dict lookup would).
+    kept, as a dict lookup would). Whether a line is valid doesn't depend on
+    the field types: each value is read as its JSON text and cast on its own,
+    and is null where it doesn't fit.
     """
     line = T.py_strip(F.col(line_col))
     x = df.select(*keys, line.alias("_line")).filter(F.col("_line") != "")
-    parsed = F.from_json(F.col("_line"), _with_corrupt(schema), PARSE_OPTIONS)
+    texts = StructType([StructField(f.name, StringType(), True) for f in schema.fields if f.name != BAD])
+    parsed = F.from_json(F.col("_line"), _with_corrupt(texts), PARSE_OPTIONS)
     x = x.withColumn("_p", parsed)
     bad = (F.col("_p").isNull() | F.col(f"_p.{BAD}").isNotNull()
            | ~F.col("_line").rlike("^\\{[\\s\\S]*\\}$"))
@@ -45,7 +55,7 @@ def parse_json_lines(df: DataFrame, schema: StructType, line_col: str = "line",
     for k in required:
         missing = missing | ~F.coalesce(F.array_contains(obj_keys, F.lit(k)), F.lit(False))
     status = F.when(bad, F.lit("bad_json")).when(missing, F.lit("missing_key")).otherwise(F.lit("ok"))
-    fields = [F.when(status == "ok", F.col(f"_p.{f.name}")).alias(f.name) for f in schema.fields if f.name != BAD]
+    fields = [F.when(status == "ok", _typed(F.col(f"_p.{f.name}"), f.dataType)).alias(f.name) for f in schema.fields if f.name != BAD]
     return x.select(*keys, status.alias("status"), *fields)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import scores as S
+from quire.functions import text as T
 from quire.operators import relational as R
 
 POSTS_COLUMNS = ("id", "text", "approve_count", "disapprove_count", "timestamp_raw", "source")
@@ -25,14 +26,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def ingest_posts(raw: DataFrame, path: str, source: str = "archive", order_col: str = "ord") -> DataFrame:
     """Raw posts (text, approve, disapprove, timestamp, ord) → posts table rows, appended.
 
-    text null → '', votes parsed as int (default 0), timestamp kept raw,
+    text stripped (null → ''), votes parsed as int (default 0), timestamp kept raw,
     ``source`` default; id = previous max id + position in source order.
     """
     spark = raw.sparkSession
     base = 0
     if _exists(spark, path):
         base = spark.read.parquet(path).agg(F.max("id")).first()[0] or 0
-    rows = raw.select(F.coalesce(F.col("text"), F.lit("")).alias("text"),
+    rows = raw.select(T.py_strip(F.coalesce(F.col("text"), F.lit(""))).alias("text"),
                       S.parse_int("approve").alias("approve_count"),
                       S.parse_int("disapprove").alias("disapprove_count"),
                       F.col("timestamp").cast("string").alias("timestamp_raw"),

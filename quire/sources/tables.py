@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -11,52 +10,12 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
-
-    A file with a single row group scans as one split, which would run all
-    per-row text work in one task. Such under-split scans are spread
-    round-robin to the cluster's parallelism right after the scan, followed
-    by an always-true non-deterministic filter (``spark_partition_id() >= 0``): Catalyst
-    never pushes or merges filters below a non-deterministic filter, so
-    filters derived from expensive expressions (e.g. ``isnotnull(sha2(...))``
-    inferred from a join key) run after the spread, in parallel, instead of
-    inside the single scan task. Column pruning still reaches the reader.
-    On a real corpus the scan has thousands of splits, this branch is not
-    taken, and parquet filter pushdown applies as usual.
-    """
+    """Lazy parquet scan, listed anew at each call; Catalyst prunes columns and
+    pushes filters into it. How it is split is left to ``maxPartitionBytes``,
+    ``minPartitionNum`` and the files' row groups."""
     if name not in TABLES:
         raise KeyError(name)
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    if key in _SCANS:
-        return _SCANS[key]
-    df = _scan(spark, path)
-    _SCANS[key] = df
-    return df
-
-
-# One planned scan per (application, session, path): file listing and split
-# planning happen once, however often a query reads the table.
-_SCANS: dict[tuple[str, int, str], DataFrame] = {}
-
-
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(path)
-    want = min(spark.sparkContext.defaultParallelism, max(1, -(-_size_bytes(spark, path) // SPREAD_BYTES)))
-    if df.rdd.getNumPartitions() < want:
-        df = df.repartition(want).filter(F.spark_partition_id() >= 0)
-    return df
-
-
-# Compressed parquet bytes per task when spreading an under-split scan.
-SPREAD_BYTES = 1 << 20
-
-
-def _size_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class Tables:

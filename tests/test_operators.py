@@ -169,7 +169,7 @@ def test_hash_embed_unit(spark):
 
 def test_generate_chunked_stops(spark):
     df = spark.createDataFrame([(1, "a b c")], "id long, p string")
-    out = M.generate(df, "p", "id", chunked=True, chunk_tokens=4, total_tokens=10).first()
+    out = M.generate(df, "p", "id", chunked=True, total_tokens=10).first()
     assert len(out["continuation"].split()) >= 10
 
 
