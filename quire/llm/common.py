@@ -142,3 +142,39 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+BLOOM_BITS, BLOOM_HASHES = 1 << 27, 4   # at most 16 MB
+
+
+def bloom_bits(h: np.ndarray, size: int) -> np.ndarray:
+    """Places of 64-bit hashes in a filter of ``size`` bits, one row for each hash."""
+    h = h.view(np.uint64)
+    step = mix64(h.copy()) | np.uint64(1)
+    return np.stack([(h + np.uint64(k) * step) % np.uint64(size) for k in range(BLOOM_HASHES)], axis=1)
+
+
+def bloom(hashes: DataFrame, column: str, expected: int) -> np.ndarray:
+    """A Bloom filter of a column of 64-bit hashes, as packed bits. Its size follows
+    ``expected`` up to BLOOM_BITS, and so bounds what reaches the driver; beyond
+    that it lets more through, and never holds anything back that is there."""
+    size = max(1024, min(BLOOM_BITS, 1 << (16 * max(expected, 1)).bit_length()))
+
+    def run(batches):
+        for batch in batches:
+            h = batch.column(0).to_numpy(zero_copy_only=False)
+            at = np.unique(bloom_bits(h, size))
+            word, bit = (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+            cut = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))) if len(word) else np.zeros(0, np.int64)
+            bits = np.bitwise_or.reduceat(bit, cut) if len(cut) else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(word[cut]), pa.array(bits.view(np.int64))], names=["word", "bits"])
+
+    out = np.zeros(size // 64, np.uint64)
+    got = hashes.select(column).mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def in_bloom(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = bloom_bits(h, len(bits) * 64)
+    return ((bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import mix64, only, row_slices, saved, text_buffer, word_table
+from quire.llm.common import bloom, in_bloom, mix64, only, row_slices, saved, text_buffer, word_table
 from quire.operators.cluster import connected_components
 
 N = 5
@@ -270,22 +270,24 @@ def _members(docs: DataFrame, sigs: DataFrame, id_col: str, text_col: str) -> Da
     meets = saved(meets.join(reps, "f1").select("f1", "rep", "n", "sig", "pivots"), "meets")
     groups = (meets.select(F.explode("pivots").alias("pivot"), "n").groupBy("pivot").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("runs"))
               .select("pivot", F.greatest(F.ceil(F.col("texts") / CHUNK_TEXTS), F.ceil(F.col("runs") * 8 / CHUNK_BYTES)).cast("int").alias("chunks")))
+    # where each text goes, without its set
+    tasks = (meets.select("f1", F.explode("pivots").alias("pivot")).join(groups, "pivot").withColumn("mine", F.pmod(F.xxhash64("f1"), F.col("chunks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+             .select("f1", F.struct("pivot", F.least("mine", "other").alias("ci"), F.greatest("mine", "other").alias("cj"), (F.col("mine") > F.col("other")).cast("int").alias("side")).alias("task")))
 
-    # the sets of those texts only
-    src = only(docs, rep=id_col, text=text_col).join(meets.select("rep").distinct(), "rep", "left_semi")
+    # the sets of those texts only: a filter of their ids leaves few others, which the join drops
+    wanted = docs.sparkSession.sparkContext.broadcast(bloom(meets.select(F.xxhash64("rep").alias("h")), "h", meets.count()))
+    src = only(docs, rep=id_col, text=text_col).select("rep", "text", F.xxhash64("rep").alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(in_bloom(wanted.value, batch.column("h").to_numpy(zero_copy_only=False))))
             for part in row_slices(batch, "text"):
                 sets = shingle_sets(part.column("text"))
                 yield pa.RecordBatch.from_arrays([pa.array([fingerprint(s)[0] for s in sets], pa.int64()), part.column("rep"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["f1", "rep", "runs"])
 
     sets = src.mapInArrow(run, f"f1 long, rep {src.schema['rep'].dataType.simpleString()}, runs binary")
-    rows = meets.join(sets, ["f1", "rep"]).withColumn("pivot", F.explode("pivots")).join(groups, "pivot")
-    mine = F.pmod(F.xxhash64("f1"), F.col("chunks")).cast("int")
-    return (rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .select("pivot", F.least("mine", "other").alias("ci"), F.greatest("mine", "other").alias("cj"),
-                    (F.col("mine") > F.col("other")).cast("int").alias("side"), "f1", "rep", "pivots", "sig", "runs"))
+    return meets.join(sets, ["f1", "rep"]).join(tasks, "f1").select("task.*", "f1", "rep", "pivots", "sig", "runs")
 
 
 def pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
@@ -309,3 +311,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"), F.col("links").alias("n_links"), F.col("copies").alias("n_copies"))
     wordless = sigs.filter("n = 0").select(F.col("id").alias(id_col), F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"))
     return with_words.unionByName(wordless)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each class (that of the smallest id), with all its columns;
+    documents without an id stay."""
+    kept = join(docs, id_col, text_col).filter(F.col(id_col) == F.col("class_id")).select(F.col(id_col).alias("kept_id")).distinct()
+    firsts = docs.join(kept, docs[id_col] == kept["kept_id"], "left_semi")
+    return firsts.dropDuplicates([id_col, text_col]).unionByName(docs.filter(docs[id_col].isNull()))
