@@ -11,7 +11,8 @@ dropped, lower case, letter / digit / other runs, bytes as symbols, word end
 mark on the last byte). Special strings of the file are cut out first.
 
 Defined results: null or empty text gives no ids, zero tokens and an empty
-decoded text; letters that only Unicode 17 assigns count as letters; repeated rows give repeated results; other columns of the
+decoded text; letters that only later Unicode versions assign are neither
+letters nor digits; repeated rows give repeated results; other columns of the
 input, whatever their names, are not read.
 """
 
@@ -38,7 +39,17 @@ _ODD_SPACE = re.compile("[\x1c-\x1f]")
 # fixed values: white space and word pattern as the vocabulary file states them
 _SPACE = "\t-\r \x85\xa0  -     　"
 _SPLIT = re.compile(f"[{_SPACE}]+")
-_WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+")
+# fixed values: letters and digits that the tables of the split pattern don't have yet
+_LATER_LETTERS = ("՘֋֌࢏౜೜₏₝-₟꟎꟏꟒꟔꟝꟢꟱꭬꭭"
+                  "\U000107BB-\U000107BF\U00010940-\U00010959\U00010EC5-\U00010EC7\U00010ED9-\U00010EEE\U00011B0A\U00011DB0-\U00011DDB\U00011DF1"
+                  "\U00016EA0-\U00016EB8\U00016EBB-\U00016ED3\U00016FF2\U00016FF3\U000187F8-\U000187FF\U00018CD6-\U00018CDA\U00018D09-\U00018D20"
+                  "\U00018D80-\U00018DF2\U00018E00-\U00019191\U000191A0-\U000191D2\U0001B123-\U0001B128\U0001B168\U0001D6A6\U0001DF1F-\U0001DF24"
+                  "\U0001DF2B-\U0001DF81\U0001DF90-\U0001DF96\U0001DFCD-\U0001DFFF\U0001E6C0-\U0001E6DE\U0001E6E0-\U0001E6E2\U0001E6E4\U0001E6E5"
+                  "\U0001E6E7-\U0001E6ED\U0001E6F0-\U0001E6F4\U0001E6FE\U0001E6FF\U0002B73A-\U0002B73F\U0002B81E\U0002CEA2-\U0002CEAD"
+                  "\U000323B0-\U00033479\U0003D000-\U0003FC3F")
+_LATER_DIGITS = "\U00011DE0-\U00011DE9\U0001246F\U00012475-\U0001247F\U00012550-\U00012686\U00016FF4-\U00016FF6"
+_LETTER, _DIGIT = rf"[\p{{L}}--[{_LATER_LETTERS}]]", rf"[\p{{N}}--[{_LATER_DIGITS}]]"
+_WORDS = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|{_LETTER}+|{_DIGIT}|[[^{_SPACE}\p{{L}}\p{{N}}]||[{_LATER_LETTERS}{_LATER_DIGITS}]]+")
 
 
 # fixed values: lower-case pairs of letters newer than Python's own tables

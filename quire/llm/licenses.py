@@ -20,12 +20,16 @@ from quire.llm.common import only
 from quire.llm.license_rules import BASE, phrase, rules
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BETWEEN = "".join(map(chr, [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))  # all of ASCII but digits and letters
 
 
 def word_string(text: Column) -> Column:
     """`` w1  w2  w3 ``, or an empty string without words."""
-    spaced = F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), _BETWEEN, "  "))
+    spaced = F.translate(F.coalesce(text, F.lit("")), _BETWEEN + _UPPER, " " * len(_BETWEEN) + _LOWER)
+    # runs of blanks become two: < and > are free by now
+    for old, new in ((" ", "<>"), ("><", ""), ("<>", "  ")):
+        spaced = F.replace(spaced, F.lit(old), F.lit(new))
+    spaced = F.trim(spaced)
     return F.when(spaced == "", "").otherwise(F.concat(F.lit(" "), spaced, F.lit(" ")))
 
 
@@ -53,9 +57,24 @@ def rule_array() -> Column:
 
 
 def keyword_array() -> Column:
+    """The rules' keyword phrases."""
     return F.array(*[F.lit(k) for k in dict.fromkeys(r[2] for r in rules())])
 
 
+def gate() -> str:
+    """A pattern for the longest word of any keyword phrase, branched by first letters:
+    a text without any needs no closer look."""
+    branches: dict[str, list[str]] = {}
+    for w in sorted({max(r[2].split(), key=len) for r in rules()}):
+        branches.setdefault(w[0], []).append(w[1:])
+    return " (?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in branches.items()) + ") "
+
+
+def gated(words: Column) -> Column:
+    """The keyword phrases that stand in a text."""
+    return F.when(words.rlike(gate()), F.filter(keyword_array(), lambda k: words.contains(k))).otherwise(F.array().cast("array<string>"))
+
+
 _SPAN = "struct<start:int,back:int,priority:int,label:string,weight:double>"
 
 
@@ -97,7 +116,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     marks = [places(words, said) for said, _ in BASE]
     n_base = sum((n for n, _, _ in marks[1:]), marks[0][0])
     base = F.array_sort(F.array_compact(F.array(*[F.when(n > 0, F.lit(label)) for (n, _, _), (_, label) in zip(marks, BASE)])))
-    found = src.select("id", "words", F.filter(keyword_array(), lambda k: words.contains(k)).alias("keywords"), word_count(words).alias("n_words"), n_base.alias("n_base"),
+    found = src.select("id", "words", gated(words).alias("keywords"), word_count(words).alias("n_words"), n_base.alias("n_base"),
                        F.least(*[f for _, f, _ in marks]).alias("first_word"), F.greatest(*[x for _, _, x in marks]).alias("last_word"), base.alias("base_labels"))
     none = F.array().cast(f"array<{_SPAN}>")
     kept = found.withColumn("kept", F.when(F.size("keywords") > 0, standing(detections(words, F.col("keywords")))).otherwise(none)).drop("words", "keywords")

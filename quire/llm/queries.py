@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, decontaminate, jaccard, licenses, pii, rabitq, reputation, toxicity, warc
+from quire.llm import bpe, chat, decontaminate, jaccard, licenses, oracles, pii, rabitq, reputation, toxicity, warc
 from quire.llm.common import table
 
 QUERIES: dict = {}
@@ -107,10 +107,13 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join("labels", ",").alias("labels"), "score")
 
 
-ORACLE["op9_licenses"] = licenses.digest_sql()
-
-
 @query
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record, and the archives read back."""
     return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op2_host_reputation"] = oracles.REPUTATION
+ORACLE["op7_chat"] = oracles.CHAT
+ORACLE["op9_licenses"] = licenses.digest_sql()
+ORACLE["op10_warc"] = oracles.WARC

@@ -152,8 +152,8 @@ def route(queries: DataFrame, coder: Coder, sizes: np.ndarray, k: int) -> DataFr
     return queries.mapInArrow(run, f"cell long, query {kinds['query']}, q {kinds['q']}")
 
 
-def nearest(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K) -> DataFrame:
-    """For each row for which ``is_query`` (a condition on ``id``) holds, its k nearest
+def nearest(df: DataFrame, is_query: Column | str, id_col: str = "vec_id", vec_col: str = "embedding", k: int = K) -> DataFrame:
+    """For each row for which ``is_query`` (a condition on ``id``, also as SQL) holds, its k nearest
     other rows found: query_id, rank from 1, the other's id, and the Euclidean distance."""
     spark = df.sparkSession
     vectors = only(df, id=id_col, v=vec_col).filter(F.col("id").isNotNull() & usable(F.col("v")))

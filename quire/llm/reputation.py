@@ -84,9 +84,10 @@ def shrunk(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
         F.coalesce(F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("m0"), 2) - v), F.lit(0.0)).alias("over"),
         F.coalesce(F.sum((F.col("n") - 1) * v), F.lit(0.0)).alias("room"))
     rho = F.when(F.col("room") > 0, F.col("over") / F.col("room")).otherwise(0.0)
-    k = F.least(F.lit(STRONGEST), F.greatest(F.lit(WEAKEST), F.when(rho > 0, 1 / F.greatest(rho, F.lit(1e-9)) - 1).otherwise(F.lit(STRONGEST))))
-    return (rows.join(F.broadcast(sums.select(k.alias("k"))))   # one row
-            .withColumn("m", (F.col("k") * F.col("m0") + F.col("s")) / (F.col("k") + F.col("n"))))
+    over, room = sums.first()   # one row
+    rho = over / room if room > 0 else 0.0
+    k = min(STRONGEST, max(WEAKEST, 1 / max(rho, 1e-9) - 1)) if rho > 0 else STRONGEST
+    return rows.withColumn("k", F.lit(k)).withColumn("m", (F.lit(k) * F.col("m0") + F.col("s")) / (F.lit(k) + F.col("n")))
 
 
 def reputations(pages: DataFrame, outcomes: DataFrame, page_col: str = "page_id", url_col: str = "url", good_col: str = "good") -> DataFrame:
