@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 # Largest centroid matrix (rows × dims) that may be broadcast.
 MAX_BROADCAST_ELEMENTS = 1 << 25
+# elements of one similarity matrix in a task (16 MB), and of partial sums held there
+BATCH_ELEMENTS = 1 << 21
+PARTIAL_ELEMENTS = 1 << 22
 
 
 def _col(c) -> Column:
@@ -59,14 +62,31 @@ def cosine(a, b) -> Column:
 def centroids(df: DataFrame, group: str, vec: str) -> DataFrame:
     """Mean vector per group (not re-normalised) → (group, n, centroid).
 
-    posexplode + groupBy(group, pos): map-side partial aggregation leaves
-    one row per (group, pos) per task, so a hot group spreads over its
-    ``d`` positions and never gathers whole rows in one task.
+    Each task adds up its own rows, so one partial sum per (task, group) is
+    exploded into positions and shuffled, not every row; a hot group is
+    spread over its ``d`` positions.
     """
-    e = df.select(F.col(group), F.posexplode(as_double(vec)).alias("pos", "x"))
-    m = e.groupBy(group, "pos").agg(F.avg("x").alias("x"), F.count(F.lit(1)).alias("n"))
-    return m.groupBy(group).agg(F.max("n").alias("n"),
-                                F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("_xs")) \
+    src = df.select(F.col(group).alias("g"), as_double(vec).alias("v")).filter(F.col("v").isNotNull())
+
+    def add(batches):
+        sums: dict = {}
+        for pdf in batches:
+            for g, rows in pdf.groupby("g", dropna=False)["v"]:
+                x = np.vstack(rows.to_numpy())
+                n, s = sums.get(g, (0, 0.0))
+                sums[g] = (n + len(x), s + x.sum(axis=0))
+            if sums and len(sums) * len(next(iter(sums.values()))[1]) > PARTIAL_ELEMENTS:
+                yield partial(sums)
+                sums = {}
+        if sums:
+            yield partial(sums)
+
+    def partial(sums):
+        return pd.DataFrame({"g": list(sums), "n": [n for n, _ in sums.values()], "s": [s for _, s in sums.values()]})
+
+    parts = src.mapInPandas(add, f"g {src.schema['g'].dataType.simpleString()}, n bigint, s array<double>")
+    m = parts.select("g", "n", F.posexplode("s").alias("pos", "x")).groupBy("g", "pos").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
+    return m.groupBy(F.col("g").alias(group)).agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", (F.col("x") / F.col("n")).alias("x")))).alias("_xs")) \
         .select(group, "n", F.col("_xs.x").alias("centroid"))
 
 
@@ -114,14 +134,22 @@ def top_centroids(df: DataFrame, cents: DataFrame, k: int = 1, id_col: str = "id
         for pdf in batches:
             if len(pdf) == 0 or kk == 0:
                 continue
-            x = _stack(pdf[vec_col])
-            xn = np.linalg.norm(x, axis=1)
-            sims = (x @ mat_.T) / np.outer(xn, norms_)
-            order = np.lexsort((np.broadcast_to(ids_, sims.shape), -sims), axis=1)[:, :kk]
+            order = np.empty((len(pdf), kk), np.int64)
+            vals = np.empty((len(pdf), kk))
+            # as many rows at a time as keep the similarity matrix within its bound
+            step = max(1, BATCH_ELEMENTS // len(ids_))
+            for lo in range(0, len(pdf), step):
+                x = _stack(pdf[vec_col].iloc[lo:lo + step])
+                sims = (x @ mat_.T) / np.outer(np.linalg.norm(x, axis=1), norms_)
+                near = np.where(np.isnan(sims), -np.inf, sims)
+                least = np.partition(near, len(ids_) - kk, axis=1)[:, len(ids_) - kk]
+                for r in range(len(x)):
+                    at = np.flatnonzero(near[r] >= least[r])  # ties with the last one, too
+                    order[lo + r] = at[np.lexsort((ids_[at], -near[r, at]))[:kk]]
+                    vals[lo + r] = sims[r, order[lo + r]]
             rows = np.repeat(pdf[id_col].to_numpy(), kk)
             ranks = np.tile(np.arange(1, kk + 1), len(pdf))
-            picked = ids_[order].ravel()
-            vals = np.take_along_axis(sims, order, axis=1).ravel()
+            picked, vals = ids_[order].ravel(), vals.ravel()
             out = pd.DataFrame({id_col: rows, "rank": ranks.astype(np.int32),
                                 cid_col: picked.astype(np.int32), "sim": vals})
             if min_sim is not None:
