@@ -19,7 +19,7 @@ def brute(text):
     return len(w), len(base), min((k for k, _ in base), default=None), max((k for k, _ in base), default=None), sorted({x for _, x in base}), labels, max([s[4] for s in kept] + [0.5] * bool(base), default=0.0)
 
 
-TEXTS = [None, "", "...", "All rights reserved.", "CC BY cc-by CC_BY", "Licensed under CC BY-NC 4.0.", "This work is licensed under the GNU General Public License, version 3 or later.",
+TEXTS = [None, "", "...", "\x00cc\x00\x1fby\x7f\x80 <>cc<by>", "cc  \t by\n\ncc-by", "ÀÉ cc by İ ſ", "All rights reserved.", "CC BY cc-by CC_BY", "Licensed under CC BY-NC 4.0.", "This work is licensed under the GNU General Public License, version 3 or later.",
          "Licensed under the Apache License, Version 2.0. All Rights Reserved", "Released under the MIT License. SPDX-License-Identifier: MIT", "mit freundlichen Grüßen",
          "Copyright 2020 Some Body. All rights reserved. " * 5, "the BSD 3-Clause \"New\" license", "Tous droits réservés", "general public licenses", "cc by", "x " * 50 + "public domain mark 1.0",
          "Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "GPLv3 or LGPL-2.1; CC0 1.0 Universal", LONG + " cc by " + LONG + " cc by"]
