@@ -49,7 +49,17 @@ _LATER_LETTERS = ("՘֋֌࢏౜೜₏₝-₟꟎꟏꟒꟔꟝꟢꟱꭬꭭"
                   "\U000323B0-\U00033479\U0003D000-\U0003FC3F")
 _LATER_DIGITS = "\U00011DE0-\U00011DE9\U0001246F\U00012475-\U0001247F\U00012550-\U00012686\U00016FF4-\U00016FF6"
 _LETTER, _DIGIT = rf"[\p{{L}}--[{_LATER_LETTERS}]]", rf"[\p{{N}}--[{_LATER_DIGITS}]]"
-_WORDS = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|{_LETTER}+|{_DIGIT}|[[^{_SPACE}\p{{L}}\p{{N}}]||[{_LATER_LETTERS}{_LATER_DIGITS}]]+")
+_ASCII_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zA-Z]+|[0-9]|[^\t-\r a-zA-Z0-9]+")
+_WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+")
+_LATER = re.compile(f"[{_LATER_LETTERS}{_LATER_DIGITS}]")
+_WORDS_WITH_LATER = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|{_LETTER}+|{_DIGIT}|[[^{_SPACE}\p{{L}}\p{{N}}]||[{_LATER_LETTERS}{_LATER_DIGITS}]]+")
+
+
+def split_words(chunk: str) -> list[str]:
+    """The words of a run between white space, as the file's split pattern cuts them."""
+    if chunk.isascii():
+        return _ASCII_WORDS.findall(chunk)
+    return (_WORDS_WITH_LATER if _LATER.search(chunk) else _WORDS).findall(chunk)
 
 
 # fixed values: lower-case pairs of letters newer than Python's own tables
@@ -165,7 +175,7 @@ class Bpe:
     def chunk(self, chunk: str) -> tuple[bytes, str]:
         """Ids (little-endian bytes) and tokens of one run between white space."""
         ids: list[int] = []
-        for w in _WORDS.findall(chunk):
+        for w in split_words(chunk):
             got = self.words.get(w)
             if got is None:
                 got = self.encode_word(w)

@@ -208,7 +208,7 @@ def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             return up
 
 
-def linked(members: DataFrame, id_type: str, threshold: float, tolerance: float, pairs: bool) -> DataFrame:
+def linked(members: DataFrame, threshold: float, tolerance: float, pairs: bool) -> DataFrame:
     """Verified links of each task's texts: (rep, links, leader), or the pairs themselves."""
     least = least_matches(threshold, tolerance)
     rep_type = members.schema["rep"].dataType
@@ -293,7 +293,7 @@ def _members(docs: DataFrame, sigs: DataFrame, id_col: str, text_col: str) -> Da
 def pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """(a, b, similarity): the links between the smallest ids of different texts."""
     sigs = saved(signatures(docs, id_col, text_col), "signatures")
-    return linked(_members(docs, sigs, id_col, text_col), "", threshold, tolerance, True)
+    return linked(_members(docs, sigs, id_col, text_col), threshold, tolerance, True)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
@@ -301,7 +301,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     to it by links or copies), ``n_links`` (other texts within the threshold of its
     own) and ``n_copies`` (documents with its very set, itself included)."""
     sigs = saved(signatures(docs, id_col, text_col), "signatures")
-    found = saved(linked(_members(docs, sigs, id_col, text_col), "", threshold, tolerance, False), "links")
+    found = saved(linked(_members(docs, sigs, id_col, text_col), threshold, tolerance, False), "links")
     links = found.groupBy("f1").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("rep").alias("src"), F.col("leader").alias("dst")))
     classes = (sigs.filter("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))

@@ -131,7 +131,7 @@ def index(vectors: DataFrame, coder: Coder) -> DataFrame:
     return vectors.filter(F.size("v") == d).mapInArrow(run, f"cell long, id {kinds['id']}, v {kinds['v']}, code binary, norm double, dot double")
 
 
-def route(queries: DataFrame, coder: Coder, sizes: np.ndarray, k: int) -> DataFrame:
+def route(queries: DataFrame, coder: Coder, sizes: np.ndarray) -> DataFrame:
     """(cell, query, q): each query for each cell that it looks into."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,7 +168,7 @@ def nearest(df: DataFrame, is_query: Column | str, id_col: str = "vec_id", vec_c
     for r in table.groupBy("cell").count().collect():   # a row for each cell
         sizes[r["cell"]] = r["count"]
     queries = table.filter(is_query).groupBy(F.col("id").alias("query")).agg(F.min("v").alias("q"))
-    routed = saved(route(queries, coder, sizes, k), "routed")
+    routed = saved(route(queries, coder, sizes), "routed")
     asked = np.zeros(cells, np.int64)
     for r in routed.groupBy("cell").count().collect():
         asked[r["cell"]] = r["count"]
