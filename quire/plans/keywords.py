@@ -177,6 +177,7 @@ def cluster_summary(spark, sf):
                       "num_texts", "sample_ids")
 
 
+# fixed value: the banner of the preview report
 BANNER = "=" * 40
 
 

@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # the driver keeps plan/metric history even with the UI off: keep it short
@@ -118,7 +120,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     d = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)

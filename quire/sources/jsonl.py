@@ -117,8 +117,3 @@ def set_json_field(line: str | Column, key: str, value_json: Column) -> Column:
     empty = line.rlike("^\\s*\\{\\s*\\}\\s*$")
     return F.when(empty, F.concat(F.lit("{"), pair, F.lit("}"))).otherwise(
         F.concat(F.regexp_replace(line, "\\}\\s*$", ""), F.lit(", "), pair, F.lit("}")))
-
-
-def json_scalar(c: str | Column, path: str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.get_json_object(c, path)

@@ -60,7 +60,3 @@ def dedupe_stream(spark: SparkSession, source_dir: str, glob: str, schema: Struc
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink)
-
-
-def sink_rows(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[F.col(c) for c in cols])
