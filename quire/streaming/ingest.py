@@ -29,8 +29,9 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, glob: str, schema: StructType, sink: str, checkpoint: str,
-                  text_col: str = "text", order_col: str = "doc_id", max_files: int = 1) -> DataFrame:
-    """T1/T3/T4 (+W2): append new, unseen posts to a parquet sink; returns the sink."""
+                  text_col: str = "text", order_col: str = "doc_id", max_files: int = 1000) -> DataFrame:
+    """T1/T3/T4 (+W2): append new, unseen posts to a parquet sink; returns the sink.
+    Each micro-batch reads the sink's hashes once, so batches hold many files."""
     ensure_checkpoint_dir(spark)
     src = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
            .option("maxFilesPerTrigger", max_files).parquet(source_dir))
