@@ -9,8 +9,9 @@ is estimated without bias, with an error bound of ``EPSILON`` standard errors. I
 each cell only vectors whose lower bound of the distance does not exceed the
 k-th smallest upper bound are reranked by exact distances.
 
-A query looks into its ``PROBES`` nearest cells, and into more until they hold
-``PROBED_ROWS`` vectors (all, if there are fewer). Cells are dealt into blocks of bounded
+A query looks into its nearest cells until they hold ``PROBED_SHARE`` of all vectors,
+and ``PROBED_ROWS`` at least (all, if there are fewer): vectors without much
+structure have neighbours in far cells, and there the codes do the pruning. Cells are dealt into blocks of bounded
 size on both sides, so neither a hot cell nor one very common vector makes a
 large task; each block returns k rows for each of its queries.
 
@@ -38,7 +39,7 @@ from quire.llm.common import only, saved
 K = 10
 SAMPLE = 20_000
 ROWS_PER_CELL, MOST_CELLS, ROUNDS = 256, 1024, 10
-PROBES = 24
+PROBED_SHARE = 0.8
 PROBED_ROWS = 2_000
 EPSILON = 3.0
 BLOCK_VECTORS, BLOCK_QUERIES = 16_384, 4_096
@@ -141,8 +142,7 @@ def route(queries: DataFrame, coder: Coder, sizes: np.ndarray) -> DataFrame:
             far = ((x[:, None, :] - coder.centroids[None, :, :]) ** 2).sum(2) if x.size * len(coder.centroids) < 1 << 22 else (coder.centroids ** 2).sum(1)[None, :] - 2 * x @ coder.centroids.T
             order = np.argsort(np.where(sizes[None, :] > 0, far, np.inf), axis=1, kind="stable")
             held = np.cumsum(sizes[order], axis=1)
-            enough = np.argmax(held >= min(PROBED_ROWS, sizes.sum()), axis=1) + 1
-            take = np.minimum(np.maximum(enough, PROBES), (sizes > 0).sum())
+            take = np.argmax(held >= min(max(PROBED_ROWS, PROBED_SHARE * sizes.sum()), sizes.sum()), axis=1) + 1
             row = np.repeat(np.arange(len(x)), take)
             cells = np.concatenate([order[r, :n] for r, n in enumerate(take)])
             rows = pa.array(row)
