@@ -6,7 +6,8 @@ most in some benchmark passage (``HEAVY`` of each, so every one is
 represented). A randomised SVD of that matrix, sketched in one pass of the
 cluster over all documents, gives a latent space; in it every window of every
 document is compared with the benchmark passages by cosine. Windows of
-``LEAST_COSINE`` or more are candidates; around them the longest common
+``LEAST_COSINE`` or more, which also hold ``LEAST_SHARE`` of the passage's weight
+along its own direction, are candidates; around them the longest common
 subsequence of words with the whole item is computed:
 
 * at least ``COPY`` of the item's words: contaminated;
@@ -16,7 +17,8 @@ subsequence of words with the whole item is computed:
 Items of fewer than ``SHORT`` words must stand word for word.
 
 The benchmark is a stated query set, taken in blocks of about ``BLOCK`` items
-(a hash of the text chooses the block), each against all documents. Only a
+(a hash of the text chooses the block), each against all documents; at most
+``SPACE`` passages share a latent space, which has a dimension for each of them. Only a
 block's words, weights and latent vectors go to the driver and the executors.
 
 Defined results: null or empty texts match nothing; repeated documents and
@@ -39,9 +41,11 @@ from pyspark.sql import functions as F
 from quire.llm.common import only, row_slices, saved, text_buffer, word_table
 
 PASSAGE = 32          # words of a window; windows start every half
-HEAVY = 16            # terms kept of each benchmark passage
-RANK, OVER = 192, 16  # latent dimensions, and extra columns of the sketch
+HEAVY = 8             # terms kept of each benchmark passage
+SPACE, OVER = 384, 64  # benchmark passages in one latent space, and its dimensions beyond theirs
+ITEM_WEIGHT = 9.0     # weight of the benchmark's passages against all the corpus's
 LEAST_COSINE = 0.45
+LEAST_SHARE = 0.25
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.75
 SHORT = 8
 BLOCK = 2000          # items searched at once
@@ -232,45 +236,46 @@ def sketch(table: DataFrame, weighty: np.ndarray, idf: np.ndarray, omega: np.nda
     return out, count
 
 
-def latent_space(table: DataFrame, weighty: np.ndarray, idf: np.ndarray, queries: np.ndarray, rank: int) -> tuple[np.ndarray, np.ndarray]:
-    """Right singular vectors (terms x rank) and singular values of the TF-IDF matrix.
+def latent_space(table: DataFrame, weighty: np.ndarray, idf: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Right singular vectors (terms x dimensions) and singular values of the TF-IDF matrix.
 
-    The corpus's passages and the benchmark's (rows of ``queries``, of unit
-    length) weigh the same in total. One pass: the sketch of A'A gives its
-    Nystroem approximation.
+    The benchmark's passages (rows of ``queries``, of unit length) weigh
+    ITEM_WEIGHT times as much as all the corpus's, so their directions stay. One
+    pass: the sketch of A'A gives its Nystroem approximation.
     """
     n = len(idf)
-    width = min(n, rank + OVER)
+    width = min(n, len(queries) + OVER)
     omega = np.linalg.qr(np.random.default_rng(SEED).standard_normal((n, width)))[0].astype(np.float32)
     z, count = sketch(table, weighty, idf.astype(np.float32), omega)
-    z = z / max(count, 1) + queries.T @ (queries @ omega) / max(len(queries), 1)
+    z = z / max(count, 1) + ITEM_WEIGHT * queries.T @ (queries @ omega) / max(len(queries), 1)
     shift = np.finfo(np.float32).eps * np.linalg.norm(z)
     z = z + shift * omega
     core = omega.T.astype(np.float64) @ z
     values, vectors = np.linalg.eigh((core + core.T) / 2)
     values = np.maximum(values, shift)
     u, s, _ = np.linalg.svd(z @ (vectors / np.sqrt(values)), full_matrices=False)
-    return u[:, :rank], np.maximum(s[:rank] ** 2 - shift, 0) ** 0.5
+    return u, np.maximum(s ** 2 - shift, 0) ** 0.5
 
 
-def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], weighty: np.ndarray, weights: np.ndarray, latent: np.ndarray, owner: np.ndarray) -> DataFrame:
+def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], weighty: np.ndarray, weights: np.ndarray, latent: np.ndarray, weight: np.ndarray, owner: np.ndarray) -> DataFrame:
     """Windows near a benchmark passage, checked; the best for each document row and item.
 
-    ``weights`` (terms x rank) are the idf-weighted latent vectors of the terms,
-    ``latent`` the unit latent vectors of the benchmark passages, ``owner`` their items.
+    ``weights`` (terms x dimensions) are the idf-weighted latent vectors of the terms,
+    ``latent`` the unit latent vectors of the benchmark passages, ``weight`` the
+    lengths of their term vectors, ``owner`` their items.
     """
-    sent = table.sparkSession.sparkContext.broadcast((items, weighty, weights.astype(np.float32), latent.astype(np.float32), owner))
+    sent = table.sparkSession.sparkContext.broadcast((items, weighty, weights.astype(np.float32), latent.astype(np.float32), weight.astype(np.float32), owner))
     half = PASSAGE // 2
     kind = table.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, weighty, weights, latent, owner = sent.value
+        items, weighty, weights, latent, weight, owner = sent.value
         for batch, words, borders in lists(batches):
             first, row, number, term = passages(words, borders, weighty, half)
             best: dict[tuple[int, int], tuple] = {}
             near: dict[tuple[int, int], list[tuple[float, int]]] = {}
-            for lo in range(0, len(first), 8192):
-                hi = min(lo + 8192, len(first))
+            for lo in range(0, len(first), 2048):
+                hi = min(lo + 2048, len(first))
                 more = min(hi + 1, len(first))   # the half window after the last one
                 starts = first[lo:more]
                 sums = np.add.reduceat(weights[term[starts[0]:first[more] if more < len(first) else len(term)]], starts - starts[0], axis=0)
@@ -278,10 +283,10 @@ def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], wei
                 full = sums[:hi - lo].copy()
                 on = on[on < hi - lo]
                 full[on] += sums[on + 1]
-                full /= np.maximum(np.linalg.norm(full, axis=1), 1e-9)[:, None]
-                cosine = full @ latent.T
-                for w, q in zip(*np.nonzero(cosine >= LEAST_COSINE)):
-                    near.setdefault((int(row[lo + w]), int(owner[q])), []).append((float(cosine[w, q]), int(number[lo + w]) * half))
+                length = np.linalg.norm(full, axis=1)
+                along = full @ latent.T
+                for w, q in zip(*np.nonzero((along >= LEAST_COSINE * length[:, None]) & (along >= LEAST_SHARE * weight[None, :]))):
+                    near.setdefault((int(row[lo + w]), int(owner[q])), []).append((float(along[w, q] / length[w]), int(number[lo + w]) * half))
             for (r, i), places in near.items():
                 item, top = items[i], None
                 for c, at in sorted(places, key=lambda x: (-x[0], x[1])):
@@ -305,7 +310,7 @@ def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], wei
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-         block: int = BLOCK, rank: int = RANK) -> DataFrame:
+         block: int = BLOCK) -> DataFrame:
     """One row for each document and benchmark item that it holds: cosine of the
     nearest window, share of the item's words found in order (``coverage``),
     whether the answer stands there, and the word where the window starts."""
@@ -326,25 +331,29 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         n_passages, held = passage_counts(table, len(vocabulary))
         idf_all = np.log((1 + n_passages + len(items)) / (1 + held)) + 0.1
         # benchmark passages, and the heaviest terms of each
-        owner, parts = [], []
+        spaces: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[]]
         for i, item in enumerate(items):
             size = math.ceil(item.n / math.ceil(item.n / PASSAGE))
+            own = []
             for lo in range(0, item.n, size):
                 word, tf = np.unique(item.words[lo:lo + size], return_counts=True)
                 weight = tf * idf_all[word]
                 top = np.lexsort((word, -weight))[:HEAVY]
-                owner.append(i)
-                parts.append((word[top], weight[top]))
-        used = np.unique(np.concatenate([w for w, _ in parts]))
-        weighty = np.full(len(vocabulary) + 1, -1, np.int64)
-        weighty[used] = np.arange(len(used))
-        queries = np.zeros((len(parts), len(used)))
-        for i, (word, weight) in enumerate(parts):
-            queries[i, weighty[word]] = weight / np.linalg.norm(weight)
-        v, _ = latent_space(table, weighty, idf_all[used], queries, min(rank, len(used)))
-        latent = queries @ v
-        latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
-        out.append(search(table, id_col, item_type, items, weighty, idf_all[used][:, None] * v, latent, np.array(owner)))
+                own.append((i, word[top], weight[top]))
+            if spaces[-1] and len(spaces[-1]) + len(own) > SPACE:
+                spaces.append([])
+            spaces[-1] += own
+        for parts in spaces:
+            used = np.unique(np.concatenate([w for _, w, _ in parts]))
+            weighty = np.full(len(vocabulary) + 1, -1, np.int64)
+            weighty[used] = np.arange(len(used))
+            queries, length = np.zeros((len(parts), len(used))), np.array([np.linalg.norm(weight) for _, _, weight in parts])
+            for at, (_, word, weight) in enumerate(parts):
+                queries[at, weighty[word]] = weight / length[at]
+            v, _ = latent_space(table, weighty, idf_all[used], queries)
+            latent = queries @ v
+            latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
+            out.append(search(table, id_col, item_type, items, weighty, idf_all[used][:, None] * v, latent, length, np.array([i for i, _, _ in parts])))
     return reduce(DataFrame.unionByName, out) if out else none
 
 
