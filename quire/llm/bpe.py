@@ -29,10 +29,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from quire.llm.common import only
+from quire.llm.common import only, row_slices
 
 #: Chunks whose encoding a Python worker remembers before it starts afresh (memory only, never results).
-REMEMBERED = 300_000
+REMEMBERED = 100_000
+#: Bytes of text whose tokens a task holds at once.
+OUT_BYTES = 1 << 21
 
 NONE = 1 << 30
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -235,8 +237,7 @@ def loaded(spec: str) -> Bpe:
     return _LOADED[key]
 
 
-_TYPES = {"n_tokens": ("long", pa.int64()), "ids": ("array<int>", pa.list_(pa.int32())), "decoded": ("string", pa.string()),
-          "ids_sha256": ("string", pa.string()), "decoded_sha256": ("string", pa.string())}
+_TYPES = {"n_tokens": "long", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
 
 
 def encode(docs: DataFrame, vocabulary: str, want: tuple[str, ...] = ("n_tokens", "ids", "decoded"),
@@ -247,8 +248,8 @@ def encode(docs: DataFrame, vocabulary: str, want: tuple[str, ...] = ("n_tokens"
     (a fixed file of under 2 MB) goes to the executors as a broadcast variable.
     ``want`` may name n_tokens, ids, decoded, ids_sha256 and decoded_sha256; the
     two digests are of the ids as little-endian unsigned 32-bit integers and
-    of the decoded text in UTF-8. Nothing is shuffled; a batch of rows is in
-    memory at a time.
+    of the decoded text in UTF-8. Nothing is shuffled; the tokens of about
+    OUT_BYTES of text are in memory at a time.
     """
     src = only(docs, id=id_col, text=text_col)
     with open(vocabulary, encoding="utf-8") as f:
@@ -258,22 +259,16 @@ def encode(docs: DataFrame, vocabulary: str, want: tuple[str, ...] = ("n_tokens"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(spec.value)
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in want}
-            for text in batch.column("text"):
-                ids, decoded = bpe.encode(text.as_py() or "")
-                for c in want:
-                    if c == "n_tokens":
-                        v = len(ids) // 4
-                    elif c == "ids":
-                        v = np.frombuffer(ids, dtype="<u4").astype(np.int32)
-                    elif c == "decoded":
-                        v = decoded
-                    elif c == "ids_sha256":
-                        v = hashlib.sha256(ids).hexdigest()
-                    else:
-                        v = hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest()
-                    out[c].append(v)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(out[c], type=_TYPES[c][1]) for c in want)], names=[id_col, *want])
-
-    schema = f"`{id_col}` {id_type.simpleString()}, " + ", ".join(f"{c} {_TYPES[c][0]}" for c in want)
+            for part in row_slices(batch, "text", OUT_BYTES):
+                done = [bpe.encode(text.as_py() or "") for text in part.column("text")]
+                made = {
+                    "n_tokens": lambda: pa.array([len(ids) // 4 for ids, _ in done], pa.int64()),
+                    "ids": lambda: pa.ListArray.from_arrays(np.cumsum([0, *(len(ids) // 4 for ids, _ in done)], dtype=np.int32), pa.array(np.frombuffer(b"".join(ids for ids, _ in done), "<i4"))),
+                    "decoded": lambda: pa.array([text for _, text in done], pa.string()),
+                    "ids_sha256": lambda: pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in done], pa.string()),
+                    "decoded_sha256": lambda: pa.array([hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() for _, text in done], pa.string()),
+                }
+                yield pa.RecordBatch.from_arrays([part.column("id"), *(made[c]() for c in want)], names=[id_col, *want])
+
+    schema = f"`{id_col}` {id_type.simpleString()}, " + ", ".join(f"{c} {_TYPES[c]}" for c in want)
     return src.mapInArrow(run, schema)

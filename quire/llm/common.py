@@ -111,8 +111,9 @@ def word_hash(word: str) -> int:
     return int(h[0])
 
 
-def row_slices(batch: pa.RecordBatch, column: str, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
-    """The batch cut into runs of rows with about ``most`` bytes of text each."""
+def row_slices(batch: pa.RecordBatch, column: str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batch cut into runs of rows with about ``most`` bytes of text each.
+    Memory that Arrow no longer uses goes back after each batch."""
     col = batch.column(column)
     size = np.asarray(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     lo, total = 0, 0
@@ -123,6 +124,7 @@ def row_slices(batch: pa.RecordBatch, column: str, most: int = 1 << 23) -> Itera
         total += int(s)
     if lo < batch.num_rows:
         yield batch.slice(lo)
+    pa.default_memory_pool().release_unused()
 
 
 def only(df: DataFrame, **columns: str) -> DataFrame:

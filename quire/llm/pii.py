@@ -29,7 +29,7 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quire.llm.common import only
+from quire.llm.common import only, row_slices
 
 KINDS = ("email", "ip", "card", "phone")
 ORDER = {k: i for i, k in enumerate(KINDS)}
@@ -425,12 +425,14 @@ def mask(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = SemiMarkov(weights)
         for batch in batches:
-            out = []
-            for t in batch.column(place):
-                t = t.as_py()
-                out.append(t and redact(t, all_spans(model, t)[1]))
-            cols = list(batch.columns)
-            cols[place] = pa.array(out, type=batch.schema.field(place).type)
-            yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
+            named = pa.RecordBatch.from_arrays(batch.columns, names=[str(k) for k in range(batch.num_columns)])
+            for part in row_slices(named, str(place)):
+                out = []
+                for t in part.column(place):
+                    t = t.as_py()
+                    out.append(t and redact(t, all_spans(model, t)[1]))
+                cols = list(part.columns)
+                cols[place] = pa.array(out, type=batch.schema.field(place).type)
+                yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
 
     return docs.mapInArrow(run, docs.schema)
