@@ -37,8 +37,8 @@ from quire.llm.jaccard import minhash, shingle_sets
 GRADES = 4
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4096, 8192
 HEAD = 4              # bytes of a word that make its stem feature
-LEAST_SEEN = 3        # toxic sample documents that a marker needs
-LEAST_Z = 5.0         # standard errors between its rates
+LEAST_SEEN = 2        # toxic sample documents that a marker needs
+LEAST_Z = 3.5         # standard errors between its rates
 LEAST_LIFT = 4.0      # times that its rate in toxic documents is that in clean ones
 MARKERS = 50_000      # most markers kept, strongest first
 SHRINK, STEPS = 1e-3, 300
