@@ -4,11 +4,12 @@ Benchmark items are cut into passages of at most ``PASSAGE`` words. Passages of
 the corpus (runs of as many words) are TF-IDF vectors over the terms that weigh
 most in some benchmark passage (``HEAVY`` of each, so every one is
 represented). A randomised SVD of that matrix, sketched in one pass of the
-cluster over all documents, gives a latent space; in it every window of every
-document is compared with the benchmark passages by cosine. Windows of
-``LEAST_COSINE`` or more, which also hold ``LEAST_SHARE`` of the passage's weight
-along its own direction, are candidates; around them the longest common
-subsequence of words with the whole item is computed:
+cluster over all documents, gives a latent space, in which a window's cosine
+with the benchmark passages is taken. No cosine decides what is looked at: a
+window is a candidate for an item if enough of the item's words stand around it
+(see ``counted``), which holds for every window that the checks can accept.
+Around candidates the longest common subsequence of words with the whole item is
+computed:
 
 * at least ``COPY`` of the item's words: contaminated;
 * at least ``PARAPHRASE``, and the item's last quarter (its answer) stands
@@ -41,11 +42,9 @@ from pyspark.sql import functions as F
 from quire.llm.common import only, row_slices, saved, text_buffer, word_table
 
 PASSAGE = 32          # words of a window; windows start every half
-HEAVY = 8             # terms kept of each benchmark passage
+HEAVY = 16            # terms kept of each benchmark passage
 SPACE, OVER = 384, 64  # benchmark passages in one latent space, and its dimensions beyond theirs
 ITEM_WEIGHT = 9.0     # weight of the benchmark's passages against all the corpus's
-LEAST_COSINE = 0.45
-LEAST_SHARE = 0.25
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.75
 SHORT = 8
 BLOCK = 2000          # items searched at once
@@ -175,8 +174,9 @@ def passage_counts(table: DataFrame, n_words: int) -> tuple[int, np.ndarray]:
 def sketch(table: DataFrame, weighty: np.ndarray, idf: np.ndarray, omega: np.ndarray) -> tuple[np.ndarray, int]:
     """A'A omega for the matrix A of all corpus passages, and the number of its rows.
 
-    Each task adds up its own part, only rows of terms that it met; parts meet
-    in two rounds of bounded groups.
+    Each task adds up its own part of A'A, the products of the few terms of each
+    passage, and sends that times omega, only rows of terms that it met; parts
+    meet in two rounds of bounded groups.
     """
     spark = table.sparkSession
     sent = spark.sparkContext.broadcast((weighty, idf, omega))
@@ -186,12 +186,13 @@ def sketch(table: DataFrame, weighty: np.ndarray, idf: np.ndarray, omega: np.nda
         weighty, idf, omega = sent.value
         part, count = np.zeros(omega.shape, np.float32), 0
         met = np.zeros(len(idf), bool)
+        square = np.zeros((len(idf), len(idf))) if len(idf) <= SPACE * HEAVY else None   # more only for an item longer than a space
         for _, words, borders in lists(batches):
             first, _, _, term = passages(words, borders, weighty, PASSAGE)
             count += len(first)
-            for lo in range(0, len(first), 4096):
-                starts = first[lo:lo + 4096]
-                t = term[starts[0]:first[lo + 4096] if lo + 4096 < len(first) else len(term)]
+            for lo in range(0, len(first), 1024):
+                starts = first[lo:lo + 1024]
+                t = term[starts[0]:first[lo + 1024] if lo + 1024 < len(first) else len(term)]
                 starts = starts - starts[0]
                 per = np.diff(np.append(starts, len(t)))
                 row = np.repeat(np.arange(len(starts)), per)
@@ -201,11 +202,18 @@ def sketch(table: DataFrame, weighty: np.ndarray, idf: np.ndarray, omega: np.nda
                 x = tf * idf[t]
                 norm = np.sqrt(np.bincount(row, weights=x * x, minlength=len(starts)))
                 x = (x / norm[row]).astype(np.float32)
-                y = np.add.reduceat(omega[t] * x[:, None], np.searchsorted(row, np.arange(len(starts))), axis=0)
-                order = np.argsort(t, kind="stable")
-                cut = np.flatnonzero(np.concatenate(([True], t[order][1:] != t[order][:-1])))
-                part[t[order][cut]] += np.add.reduceat(y[row[order]] * x[order][:, None], cut, axis=0)
                 met[t] = True
+                if square is None:
+                    y = np.add.reduceat(omega[t] * x[:, None], np.searchsorted(row, np.arange(len(starts))), axis=0)
+                    np.add.at(part, t, y[row] * x[:, None])
+                    continue
+                many = np.bincount(row, minlength=len(starts))
+                with_ = many[row]   # each term meets all of its passage
+                left = np.repeat(np.arange(len(row)), with_)
+                right = np.arange(len(left)) - np.repeat(np.cumsum(with_) - with_ - (np.cumsum(many) - many)[row], with_)
+                np.add.at(square.ravel(), t[left] * len(idf) + t[right], x[left] * x[right])
+        if square is not None:
+            part = (square @ omega).astype(np.float32)
         at = np.flatnonzero(met)
         blocks = [(int(b), at[at // wide == b]) for b in np.unique(at // wide)]
         yield pa.RecordBatch.from_arrays([
@@ -257,47 +265,107 @@ def latent_space(table: DataFrame, weighty: np.ndarray, idf: np.ndarray, queries
     return u, np.maximum(s ** 2 - shift, 0) ** 0.5
 
 
-def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], weighty: np.ndarray, weights: np.ndarray, latent: np.ndarray, weight: np.ndarray, owner: np.ndarray) -> DataFrame:
-    """Windows near a benchmark passage, checked; the best for each document row and item.
+def counted(items: list[Item], held: np.ndarray, n_passages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What a place needs to hold before it can hold an item.
 
-    ``weights`` (terms x dimensions) are the idf-weighted latent vectors of the terms,
-    ``latent`` the unit latent vectors of the benchmark passages, ``weight`` the
-    lengths of their term vectors, ``owner`` their items.
+    Where an item is found, at most n - need of its n words are missing (need is
+    the share PARAPHRASE of n, or n for an item of fewer than SHORT words). So of any n - need + k of them k are there. The rarest
+    are taken, with the k that fewest other places should reach; nothing is lost by
+    any k. Returns the items in order of their length, the row in ``shares`` of
+    each vocabulary word or -1 (last entry: other words), ``shares`` (for a word how
+    many of the taken words of each item it is), k and the half windows that
+    an item reaches to either side.
     """
-    sent = table.sparkSession.sparkContext.broadcast((items, weighty, weights.astype(np.float32), latent.astype(np.float32), weight.astype(np.float32), owner))
+    order = sorted(range(len(items)), key=lambda i: items[i].n)
+    taken, least = [], []
+    for i in order:
+        item = items[i]
+        word = np.array(item.words)
+        word = word[np.lexsort((word, held[word]))]
+        need = math.ceil(PARAPHRASE * item.n - 1e-9) if item.n >= SHORT else item.n
+        k = np.arange(1, need + 1)
+        by_chance = np.cumsum(held[word] + 0.5)[item.n - need:] / max(n_passages, 1) * (2 * item.n + PASSAGE) / PASSAGE
+        rare = np.where(k > by_chance, k * np.log(k / by_chance) - (k - by_chance), k - by_chance)   # Chernoff's bound
+        least.append(int(k[np.argmax(rare)]))
+        taken.append(word[:item.n - need + least[-1]])
+    used = np.unique(np.concatenate(taken)) if taken else np.zeros(0, np.int64)
+    place = np.full(len(held) + 1, -1, np.int64)
+    place[used] = np.arange(len(used))
+    shares = np.zeros((len(used), len(order)), np.uint32)
+    for x, word in enumerate(taken):
+        np.add.at(shares[:, x], place[word], 1)
+    if len(used) and shares.max() <= 255 // (PASSAGE // 2):   # then the sum of a half window is a byte
+        shares = shares.astype(np.uint8)
+    return np.array(order, np.int64), place, shares, np.array(least, np.int64), np.array([-(-items[i].n // (PASSAGE // 2)) for i in order], np.int64)
+
+
+def candidates(words: np.ndarray, borders: np.ndarray, place: np.ndarray, shares: np.ndarray, least: np.ndarray, reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, item (column of ``shares``) and first word in the row of the windows around
+    which ``least`` of the item's taken words stand; windows start every half."""
     half = PASSAGE // 2
+    base = np.concatenate(([0], np.cumsum(-(-np.diff(borders) // half))))
+    first, row, number, word = passages(words, borders, place, half)
+    if not len(first):
+        return
+    at_half = base[row] + number
+    far = int(reach[-1]) + 2
+    groups = np.flatnonzero(np.concatenate(([True], reach[1:] != reach[:-1], [True])))
+    step = max(2048, 2 * far)
+    for lo in range(0, int(base[-1]), step):
+        hi = min(lo + step, int(base[-1]))
+        a, b = max(0, lo - far), min(int(base[-1]), hi + far)
+        x, y = np.searchsorted(at_half, (a, b))
+        if x == y:
+            continue
+        sums = np.zeros((b - a + 1, shares.shape[1]), np.int32)   # of all half windows before
+        w = word[first[x]:first[y] if y < len(first) else len(word)]
+        sums[at_half[x:y] - a + 1] = np.add.reduceat(shares[w], first[x:y] - first[x], axis=0, dtype=shares.dtype)
+        np.cumsum(sums, axis=0, out=sums)
+        at = np.arange(lo, hi)
+        of = np.searchsorted(base, at, side="right") - 1
+        for g, h in zip(groups[:-1], groups[1:]):
+            left, right = np.maximum(at - reach[g], base[of]) - a, np.minimum(at + 2 + reach[g], base[of + 1]) - a
+            k, i = np.nonzero(sums[right, g:h] - sums[left, g:h] >= least[g:h])
+            yield of[k], g + i, (at[k] - base[of[k]]) * half
+
+
+def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], counts: tuple, weighty: np.ndarray, weights: np.ndarray, latent: np.ndarray, owner: np.ndarray) -> DataFrame:
+    """Windows that may hold an item, checked; the best for each document row and item.
+
+    ``counts`` is what ``counted`` gives, ``weights`` (terms x dimensions) are the
+    idf-weighted latent vectors of the terms, ``latent`` the unit latent vectors of the
+    benchmark passages, ``owner`` their items.
+    """
+    sent = table.sparkSession.sparkContext.broadcast((items, counts, weighty, weights.astype(np.float32), latent.astype(np.float32), np.searchsorted(owner, np.arange(len(items) + 1))))
     kind = table.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, weighty, weights, latent, weight, owner = sent.value
+        items, (order, place, shares, least, reach), weighty, weights, latent, own = sent.value
+
+        def cosine(i: int, window: np.ndarray) -> float:
+            """Of the window with the nearest passage of the item."""
+            term = weighty[window]
+            v = weights[term[term >= 0]].sum(axis=0)
+            return float((latent[own[i]:own[i + 1]] @ v).max() / max(np.linalg.norm(v), 1e-9))
+
         for batch, words, borders in lists(batches):
-            first, row, number, term = passages(words, borders, weighty, half)
             best: dict[tuple[int, int], tuple] = {}
-            near: dict[tuple[int, int], list[tuple[float, int]]] = {}
-            for lo in range(0, len(first), 2048):
-                hi = min(lo + 2048, len(first))
-                more = min(hi + 1, len(first))   # the half window after the last one
-                starts = first[lo:more]
-                sums = np.add.reduceat(weights[term[starts[0]:first[more] if more < len(first) else len(term)]], starts - starts[0], axis=0)
-                on = np.flatnonzero((row[lo + 1:more] == row[lo:more - 1]) & (number[lo + 1:more] == number[lo:more - 1] + 1))
-                full = sums[:hi - lo].copy()
-                on = on[on < hi - lo]
-                full[on] += sums[on + 1]
-                length = np.linalg.norm(full, axis=1)
-                along = full @ latent.T
-                for w, q in zip(*np.nonzero((along >= LEAST_COSINE * length[:, None]) & (along >= LEAST_SHARE * weight[None, :]))):
-                    near.setdefault((int(row[lo + w]), int(owner[q])), []).append((float(along[w, q] / length[w]), int(number[lo + w]) * half))
+            near: dict[tuple[int, int], list[int]] = {}
+            if len(order):
+                for row, item, at in candidates(words, borders, place, shares, least, reach):
+                    for r, i, w in zip(row.tolist(), order[item].tolist(), at.tolist()):
+                        near.setdefault((r, i), []).append(w)
+            hits = []
             for (r, i), places in near.items():
-                item, top = items[i], None
-                for c, at in sorted(places, key=lambda x: (-x[0], x[1])):
-                    a = max(borders[r], borders[r] + at - item.n)
-                    got = item.found(words[a:min(borders[r + 1], borders[r] + at + PASSAGE + item.n)].tolist())
-                    if got and (top is None or got[0] > top[0]):
-                        top = (*got, c, at)
-                        if got[0] >= 0.999:
-                            break
-                if top:
-                    best[r, i] = top
+                item, a, b = items[i], borders[r], borders[r + 1]
+                got = [(item.found(words[max(a, a + at - item.n):min(b, a + at + PASSAGE + item.n)].tolist()), at) for at in places]
+                most = max((g[0] for g, _ in got if g), default=None)
+                if most is not None:
+                    hits.append((r, i, [(g, at) for g, at in got if g and g[0] == most]))
+            for r, i, places in hits:
+                a, b = borders[r], borders[r + 1]
+                c, at, got = max(((cosine(i, words[a + at:min(b, a + at + PASSAGE)]), at, g) for g, at in places), key=lambda x: (x[0], -x[1]))
+                best[r, i] = (*got, c, at)
             keys = sorted(best)
             ids = batch.column("id")
             yield pa.RecordBatch.from_arrays([
@@ -347,13 +415,15 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
             used = np.unique(np.concatenate([w for _, w, _ in parts]))
             weighty = np.full(len(vocabulary) + 1, -1, np.int64)
             weighty[used] = np.arange(len(used))
-            queries, length = np.zeros((len(parts), len(used))), np.array([np.linalg.norm(weight) for _, _, weight in parts])
+            queries = np.zeros((len(parts), len(used)))
             for at, (_, word, weight) in enumerate(parts):
-                queries[at, weighty[word]] = weight / length[at]
+                queries[at, weighty[word]] = weight / np.linalg.norm(weight)
             v, _ = latent_space(table, weighty, idf_all[used], queries)
             latent = queries @ v
             latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
-            out.append(search(table, id_col, item_type, items, weighty, idf_all[used][:, None] * v, latent, length, np.array([i for i, _, _ in parts])))
+            owner = np.array([i for i, _, _ in parts])
+            lo, hi = owner[0], owner[-1] + 1   # an item's passages share a space
+            out.append(search(table, id_col, item_type, items[lo:hi], counted(items[lo:hi], held, n_passages), weighty, idf_all[used][:, None] * v, latent, owner - lo))
     return reduce(DataFrame.unionByName, out) if out else none
 
 

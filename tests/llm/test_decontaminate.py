@@ -66,3 +66,35 @@ def test_awkward_rows(spark):
 def test_common_subsequence():
     masks = D.masks_of([1, 2, 3, 1, 4])
     assert D.lcs(masks, 5, [9, 1, 3, 3, 4, 9]) == 3 and D.lcs(masks, 5, []) == 0 and D.lcs(masks, 5, [1, 2, 3, 1, 4]) == 5
+
+
+def brute_force(texts, items):
+    """(document, item) wherever the checks accept some window."""
+    code = {}
+    coded = lambda t: [code.setdefault(w, len(code)) for w in words(t)]
+    items = [D.Item(i, coded(t)) for i, t in enumerate(items)]
+    out = set()
+    for d, text in texts:
+        w = coded(text)
+        for item in items:
+            if any(item.found(w[max(0, at - item.n):at + D.PASSAGE + item.n]) for at in range(0, len(w), D.PASSAGE // 2)):
+                out.add((d, item.key))
+    return out
+
+
+def test_paraphrases_that_swap_the_rarest_words(spark):
+    r = random.Random(3)
+    common, rare = [f"c{k}" for k in range(60)], [f"r{k}" for k in range(4000)]
+    text = lambda n: [r.choice(rare) if r.random() < 0.45 else r.choice(common) for _ in range(n)]
+    items = [text(n) for n in (15, 20, 28, 33, 37, 41, 45, 50, 59, 70, 140)]
+    texts, planted = [(k, " ".join(text(150))) for k in range(20)], set()
+    for i, item in enumerate(items):
+        for x, share in enumerate((0.2, 0.3, 0.38)):
+            swap = sorted((k for k in range(len(item) * 3 // 4 - 1)), key=lambda k: (item[k][0] != "r", k))[:int(share * len(item))]
+            new = [r.choice(rare) if k in swap else w for k, w in enumerate(item)]
+            d = 100 + 10 * i + x
+            texts.append((d, " ".join(text(40) + new + text(45))))
+            planted.add((d, i))
+    want = brute_force(texts, map(" ".join, items))
+    assert planted <= want
+    assert set(found(spark, texts, [" ".join(i) for i in items])) == want
