@@ -15,7 +15,8 @@ computed:
 * at least ``PARAPHRASE``, and the item's last quarter (its answer) stands
   there with at least ``ANSWER`` of its words: contaminated, as a paraphrase.
 
-Items of fewer than ``SHORT`` words must stand word for word.
+Items of fewer than ``SHORT`` words must stand word for word; every run of words
+is held against all of them at once (``Runs``).
 
 The benchmark is a stated query set, taken in blocks of about ``BLOCK`` items
 (a hash of the text chooses the block), each against all documents; at most
@@ -265,24 +266,63 @@ def latent_space(table: DataFrame, weighty: np.ndarray, idf: np.ndarray, queries
     return u, np.maximum(s ** 2 - shift, 0) ** 0.5
 
 
+class Runs:
+    """Items of fewer than SHORT words as a tree of words, to find where one stands word for word."""
+
+    def __init__(self, items: list[Item], n_words: int):
+        self.n_words, nodes, edges = n_words, 1, {}
+        self.ends: dict[int, list[int]] = {}
+        for i, item in enumerate(items):
+            if item.n < SHORT:
+                node = 0
+                for w in item.words:
+                    node = edges.setdefault(node * n_words + w, nodes)
+                    nodes = max(nodes, node + 1)
+                self.ends.setdefault(node, []).append(i)
+        self.keys = np.array(sorted(edges), np.int64)
+        self.next = np.array([edges[k] for k in self.keys.tolist()], np.int64)
+        self.begins = np.zeros(n_words + 1, bool)   # its last entry is for other words
+        self.begins[self.keys[self.keys < n_words]] = True
+        self.ending = np.zeros(nodes, bool)
+        self.ending[list(self.ends)] = True
+
+    def found(self, words: np.ndarray, borders: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Row, item and first word in the row, where the item stands there for the first time."""
+        at = np.flatnonzero(self.begins[words])
+        row = np.searchsorted(borders, at, side="right") - 1
+        node, depth = np.zeros(len(at), np.int64), 0
+        while len(at):
+            key = node * self.n_words + words[at + depth]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            on = (words[at + depth] >= 0) & (self.keys[place] == key)
+            at, row, node, depth = at[on], row[on], self.next[place[on]], depth + 1
+            end = np.flatnonzero(self.ending[node])
+            _, first = np.unique(row[end] * len(self.ending) + node[end], return_index=True)
+            for k in end[first]:
+                for i in self.ends[int(node[k])]:
+                    yield int(row[k]), i, int(at[k] - borders[row[k]])
+            on = at + depth < borders[row + 1]
+            at, row, node = at[on], row[on], node[on]
+
+
 def counted(items: list[Item], held: np.ndarray, n_passages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """What a place needs to hold before it can hold an item.
+    """What a place needs to hold before it can hold an item of SHORT words or more.
 
-    Where an item is found, at most n - need of its n words are missing (need is
-    the share PARAPHRASE of n, or n for an item of fewer than SHORT words). So of any n - need + k of them k are there. The rarest
+    Where such an item is found, at most n - need of its n words are missing (need is
+    the share PARAPHRASE of n). So of any n - need + k of them k are there. The rarest
     are taken, with the k that fewest other places should reach; nothing is lost by
     any k. Returns the items in order of their length, the row in ``shares`` of
     each vocabulary word or -1 (last entry: other words), ``shares`` (for a word how
     many of the taken words of each item it is), k and the half windows that
     an item reaches to either side.
     """
-    order = sorted(range(len(items)), key=lambda i: items[i].n)
+    order = sorted((i for i, item in enumerate(items) if item.n >= SHORT), key=lambda i: items[i].n)
     taken, least = [], []
     for i in order:
         item = items[i]
         word = np.array(item.words)
         word = word[np.lexsort((word, held[word]))]
-        need = math.ceil(PARAPHRASE * item.n - 1e-9) if item.n >= SHORT else item.n
+        need = math.ceil(PARAPHRASE * item.n - 1e-9)
         k = np.arange(1, need + 1)
         by_chance = np.cumsum(held[word] + 0.5)[item.n - need:] / max(n_passages, 1) * (2 * item.n + PASSAGE) / PASSAGE
         rare = np.where(k > by_chance, k * np.log(k / by_chance) - (k - by_chance), k - by_chance)   # Chernoff's bound
@@ -336,11 +376,11 @@ def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], cou
     idf-weighted latent vectors of the terms, ``latent`` the unit latent vectors of the
     benchmark passages, ``owner`` their items.
     """
-    sent = table.sparkSession.sparkContext.broadcast((items, counts, weighty, weights.astype(np.float32), latent.astype(np.float32), np.searchsorted(owner, np.arange(len(items) + 1))))
+    sent = table.sparkSession.sparkContext.broadcast((items, counts, Runs(items, len(weighty) - 1), weighty, weights.astype(np.float32), latent.astype(np.float32), np.searchsorted(owner, np.arange(len(items) + 1))))
     kind = table.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, (order, place, shares, least, reach), weighty, weights, latent, own = sent.value
+        items, (order, place, shares, least, reach), runs, weighty, weights, latent, own = sent.value
 
         def cosine(i: int, window: np.ndarray) -> float:
             """Of the window with the nearest passage of the item."""
@@ -355,7 +395,7 @@ def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], cou
                 for row, item, at in candidates(words, borders, place, shares, least, reach):
                     for r, i, w in zip(row.tolist(), order[item].tolist(), at.tolist()):
                         near.setdefault((r, i), []).append(w)
-            hits = []
+            hits = [(r, i, [((1.0, True), at // (PASSAGE // 2) * (PASSAGE // 2))]) for r, i, at in runs.found(words, borders)]
             for (r, i), places in near.items():
                 item, a, b = items[i], borders[r], borders[r + 1]
                 got = [(item.found(words[max(a, a + at - item.n):min(b, a + at + PASSAGE + item.n)].tolist()), at) for at in places]

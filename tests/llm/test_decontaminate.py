@@ -98,3 +98,14 @@ def test_paraphrases_that_swap_the_rarest_words(spark):
     want = brute_force(texts, map(" ".join, items))
     assert planted <= want
     assert set(found(spark, texts, [" ".join(i) for i in items])) == want
+
+
+def test_short_items_listed_one_after_the_other(spark):
+    r = random.Random(5)
+    items = sorted({" ".join(r.choice(VOCAB) for _ in range(n)) for n in (1, 2, 3, 4, 5, 6, 7) for _ in range(30)})
+    texts = [(k, noise(25) + " " + " ".join(r.sample(items, 30)) + " " + noise(25)) for k in range(20)]
+    texts += [(50, items[0]), (51, None), (52, "else " + items[-1])]
+    want = {(d, i) for d, t in texts for i, item in enumerate(items) if f" {item} " in f" {t} "}
+    got = found(spark, texts, items)
+    assert set(got) == want
+    assert all(x["coverage"] == 1 and items[i] in " ".join(dict(texts)[d].split()[x["near_word"]:][:D.PASSAGE]) for (d, i), x in got.items())
