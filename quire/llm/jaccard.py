@@ -19,6 +19,9 @@ sets with Jaccard similarity of at least ``THRESHOLD``.
    and the smallest text that it is tied to. Rows grow with the texts, not
    with their pairs.
 
+Steps 2 and 3 can lose links: of pairs at exactly 0.8, 7.3e-5 share no band and
+up to 5.3e-5 more are pruned; of closer pairs fewer.
+
 Defined results: null or empty texts, and texts without a word, have no links
 and are a class of their own; repeated rows are exact copies of each other; a
 null id stands for no document (its row is returned with null class); an empty
