@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, decontaminate, jaccard, licenses, oracles, pii, rabitq, reputation, toxicity, warc
+from quire.llm import bpe, chat, decontaminate, jaccard, laesa, licenses, oracles, pii, rabitq, reputation, toxicity, warc
 from quire.llm.common import table
 
 QUERIES: dict = {}
@@ -113,7 +113,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_laesa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, exact distance and inertias of every vector."""
+    return laesa.cluster(table(spark, sf_dir, "embeddings"))[0].drop("n_exact")
+
+
 ORACLE["op2_host_reputation"] = oracles.REPUTATION
 ORACLE["op7_chat"] = oracles.CHAT
 ORACLE["op9_licenses"] = licenses.digest_sql()
 ORACLE["op10_warc"] = oracles.WARC
+ORACLE["op11_laesa"] = laesa.oracle_sql()
