@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, decontaminate, jaccard, laesa, licenses, oracles, pii, rabitq, reputation, toxicity, warc
+from quire.llm import bpe, chat, decontaminate, jaccard, laesa, licenses, oracles, pii, rabitq, reputation, toxicity, warc, whitening
 from quire.llm.common import table
 
 QUERIES: dict = {}
@@ -119,6 +119,12 @@ def op11_laesa(spark: SparkSession, sf_dir: str) -> DataFrame:
     return laesa.cluster(table(spark, sf_dir, "embeddings"))[0].drop("n_exact")
 
 
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components, with the certificate of the fit."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))[0]
+
+
 ORACLE["op2_host_reputation"] = oracles.REPUTATION
 ORACLE["op7_chat"] = oracles.CHAT
 ORACLE["op9_licenses"] = licenses.digest_sql()
