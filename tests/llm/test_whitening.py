@@ -57,7 +57,7 @@ def test_fewer_dimensions_than_the_block_and_low_rank(spark):
     df, model = whitening.whiten(spark.createDataFrame(small, "vec_id long, embedding array<double>"))
     check(df.collect(), small)
     assert model.passes == 2
-    flat = [(i, [3.0 * a, 0.0, 5.0] + [float(b)] * 60) for i, (a, b) in enumerate(rng.integers(-9, 9, (80, 2)))]
+    flat = [(i, [3.0 * a, 0.0, 5.0] + [float(b)] * 60) for i, (a, b) in enumerate(rng.integers(-9, 9, (80, 2)).tolist())]
     df, model = whitening.whiten(spark.createDataFrame(flat, "vec_id long, embedding array<double>"))
     check(df.collect(), flat)
     assert len(model.values) == 2
