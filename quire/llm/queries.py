@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, chat, decontaminate, jaccard, laesa, licenses, oracles, pii, rabitq, reputation, toxicity, warc, whitening
+from quire.llm import bpe, chat, decontaminate, jaccard, laesa, langcrf, licenses, oracles, pii, rabitq, reputation, toxicity, warc, whitening
 from quire.llm.common import table
 
 QUERIES: dict = {}
@@ -125,6 +125,15 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))[0]
 
 
+@query
+def op13_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = langcrf.fit(docs.filter(~held_out))
+    return langcrf.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "n_words")
+
+
 ORACLE["op2_host_reputation"] = oracles.REPUTATION
 ORACLE["op7_chat"] = oracles.CHAT
 ORACLE["op9_licenses"] = licenses.digest_sql()

@@ -42,7 +42,7 @@ from quire.llm.common import only, saved
 
 K, SCALE, SHIFT = 8, 1024, 100_000
 EXTRA, GUARDS, DEGREE = 24, 2, 16
-TOLERANCE, CERTAIN, NOTHING = 1e-15, 1e-11, 1e-13
+TOLERANCE, CERTAIN, NOTHING = 1e-14, 1e-11, 1e-13
 MOST_ROUNDS = 200
 LIMIT = 1 << 40      # largest magnitude of scale * c
 SEED = 12
