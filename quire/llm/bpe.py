@@ -5,6 +5,12 @@ each adjacent pair, every inner node the smaller of its children. The root
 says whether a merge is left; walking down, left child first, gives the
 leftmost pair of lowest rank. A merge changes three leaves, each a logarithmic
 point update, so a word of n bytes takes O(n log n) also when it is very long.
+The trees of many words are worked on side by side (``merge_many``): each step
+merges the root's pair of every word that still has one.
+
+A worker remembers the ids of the words it has met, in flat buffers, in two
+generations: when the young one is full it becomes the old one, and words met
+again move back, so frequent words stay and memory is bounded.
 
 Normalisation and word splitting follow the vocabulary file (NFC, white space
 dropped, lower case, letter / digit / other runs, bytes as symbols, word end
@@ -31,13 +37,15 @@ from pyspark.sql import DataFrame
 
 from quire.llm.common import only, row_slices
 
-#: Chunks whose encoding a Python worker remembers before it starts afresh (memory only, never results).
-REMEMBERED = 100_000
-#: Bytes of text whose tokens a task holds at once.
-OUT_BYTES = 1 << 21
+#: Words, and bytes of words and ids, that a generation of remembered words holds (memory only, never results).
+REMEMBERED, REMEMBERED_BYTES = 150_000, 1 << 24
+#: Bytes of text whose tokens a task holds at once, and words that are looked up at once.
+OUT_BYTES, WORDS_AT_ONCE = 1 << 21, 1 << 18
+#: Longest word, in bytes, whose tree is worked on beside others.
+MOST_SIDE_BY_SIDE = 64
 
 NONE = 1 << 30
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+PAIR = 1 << 31     # a pair of symbols as one number
 # fixed values: white space and word pattern as the vocabulary file states them
 _SPACE = "\t-\r \x85\xa0  -     　"
 _SPLIT = re.compile(f"[{_SPACE}]+")
@@ -57,11 +65,19 @@ _LATER = re.compile(f"[{_LATER_LETTERS}{_LATER_DIGITS}]")
 _WORDS_WITH_LATER = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|{_LETTER}+|{_DIGIT}|[[^{_SPACE}\p{{L}}\p{{N}}]||[{_LATER_LETTERS}{_LATER_DIGITS}]]+")
 
 
-def split_words(chunk: str) -> list[str]:
-    """The words of a run between white space, as the file's split pattern cuts them."""
-    if chunk.isascii():
-        return _ASCII_WORDS.findall(chunk)
-    return (_WORDS_WITH_LATER if _LATER.search(chunk) else _WORDS).findall(chunk)
+_LATIN1 = {kind: re.escape("".join(chr(c) for c in range(256) if unicodedata.category(chr(c))[0] == kind)) for kind in "LN"}
+_LATIN1_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN1['L']}]+|[{_LATIN1['N']}]|[^\t-\r \x85\xa0{_LATIN1['L']}{_LATIN1['N']}]+")
+
+
+def split_words(text: str) -> list[str]:
+    """The words of a text, as the file cuts it: at white space, and each run by its split pattern."""
+    if text.isascii():
+        return _ASCII_WORDS.findall(text)
+    try:
+        text.encode("latin-1")
+        return _LATIN1_WORDS.findall(text)
+    except UnicodeEncodeError:
+        return (_WORDS_WITH_LATER if _LATER.search(text) else _WORDS).findall(text)
 
 
 # fixed values: lower-case pairs of letters newer than Python's own tables
@@ -139,8 +155,13 @@ class Bpe:
         self.special = {t["content"]: t["id"] for t in d["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.token = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
-        self.words: dict[str, list[int]] = {}
-        self.chunks: dict[str, tuple[bytes, str]] = {}
+        order = np.argsort(keys := np.array([x * PAIR + y for x, y in self.rank], np.int64))
+        self.pair_keys, self.pair_ranks = np.append(keys[order], np.iinfo(np.int64).max), np.append(np.array(list(self.rank.values()), np.int32)[order], NONE)
+        self.made_ids, self.inner_ids, self.last_ids = (np.array(x, np.int32) for x in (self.made, self.inner, self.last))
+        told = [self.token.get(i, "").encode("utf-8", "surrogatepass") + b" " for i in range(max(self.token) + 1)]
+        self.told = np.frombuffer(b"".join(told), np.uint8)
+        self.told_at = np.concatenate(([0], np.cumsum([len(t) for t in told])))
+        self.young, self.old = Words(), Words()
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-split word, by repeated leftmost lowest-rank merges."""
@@ -174,55 +195,198 @@ class Bpe:
                 put(p, get((sym[p], sym[i]), NONE))
         return [s for s in sym if s >= 0]
 
-    def chunk(self, chunk: str) -> tuple[bytes, str]:
-        """Ids (little-endian bytes) and tokens of one run between white space."""
-        ids: list[int] = []
-        for w in split_words(chunk):
-            got = self.words.get(w)
-            if got is None:
-                got = self.encode_word(w)
-                if len(self.words) >= REMEMBERED:
-                    self.words.clear()
-                if len(w) < 64:
-                    self.words[w] = got
-            ids += got
-        out = np.asarray(ids, dtype="<u4").tobytes(), self.decode(ids)
-        if len(self.chunks) >= REMEMBERED:
-            self.chunks.clear()
-        if len(chunk) < 64:
-            self.chunks[chunk] = out
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Merge ranks of pairs of symbols; NONE where they don't merge."""
+        key = a.astype(np.int64) * PAIR + b
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NONE)
+
+    def merge_many(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and how many each has."""
+        size = np.array([len(w) for w in words], np.int64)
+        count, parts = np.zeros(len(words), np.int64), []
+        edge = 1
+        while edge <= MOST_SIDE_BY_SIDE:
+            of = np.flatnonzero((size <= edge) & (size > edge // 2))
+            if len(of):
+                sym = self._merge_class([words[k] for k in of], size[of], max(1, edge))
+                kept = sym >= 0
+                count[of] = kept.sum(1)
+                parts.append((of, sym[kept]))
+            edge *= 2
+        long = np.flatnonzero(size > edge // 2)
+        if len(long):
+            ids = [self.encode_word(words[k].decode("utf-8", "surrogatepass")) for k in long]
+            count[long] = [len(i) for i in ids]
+            parts.append((long, np.concatenate([np.array(i, np.int32) for i in ids])))
+        out, begin = np.empty(int(count.sum()), np.uint32), np.cumsum(count) - count
+        for of, ids in parts:
+            out[places(begin[of], count[of])] = ids
+        return out, count
+
+    def _merge_class(self, words: list[bytes], size: np.ndarray, leaves: int) -> np.ndarray:
+        """Symbols of words of at most ``leaves`` bytes after all merges (-1: merged away): trees of equal shape, side by side."""
+        n = len(words)
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        first = np.cumsum(size) - size
+        sym = np.full((n, leaves + 1), -1, np.int32)
+        row = np.repeat(np.arange(n), size)
+        sym[row, np.arange(len(raw)) - np.repeat(first, size)] = self.inner_ids[raw]
+        sym[np.arange(n), size - 1] = self.last_ids[raw[first + size - 1]]
+        if leaves == 1:
+            return sym
+        tree = np.full((n, 2 * leaves), NONE, np.int32)
+        here, place = np.nonzero(sym[:, 1:] >= 0)
+        tree[here, leaves + place] = self.ranks(sym[here, place], sym[here, place + 1])
+        for k in range(leaves - 1, 0, -1):
+            np.minimum(tree[:, 2 * k], tree[:, 2 * k + 1], out=tree[:, k])
+        after = np.tile(np.arange(1, leaves + 2, dtype=np.int16), (n, 1))
+        before = np.tile(np.arange(-1, leaves + 1, dtype=np.int16), (n, 1))
+
+        def put(rows: np.ndarray, at: np.ndarray, rank: np.ndarray | int) -> None:
+            k = at.astype(np.int64) + leaves
+            tree[rows, k] = rank
+            while leaves > 1 and k[0] > 1:      # all leaves are equally deep
+                k >>= 1
+                tree[rows, k] = np.minimum(tree[rows, 2 * k], tree[rows, 2 * k + 1])
+
+        rows = np.arange(n)
+        while True:
+            low = tree[rows, 1]
+            rows = rows[low < NONE]
+            if not len(rows):
+                return sym
+            low, k = low[low < NONE], np.ones(len(rows), np.int64)
+            while k[0] < leaves:
+                k *= 2
+                k += tree[rows, k] != low
+            i = k - leaves
+            j = after[rows, i]
+            far = after[rows, j]
+            sym[rows, i], sym[rows, j], after[rows, i] = self.made_ids[low], -1, far
+            more = far < size[rows]
+            rank = np.full(len(rows), NONE, np.int32)
+            if more.any():
+                r, f = rows[more], far[more]
+                before[r, f] = i[more]
+                rank[more] = self.ranks(sym[r, i[more]], sym[r, f])
+                put(r, j[more], NONE)
+            put(rows, i, rank)
+            p = before[rows, i]
+            some = p >= 0
+            if some.any():
+                r, p = rows[some], p[some]
+                put(r, p, self.ranks(sym[r, p], sym[r, i[some]]))
+
+    def look_up(self, words: list) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and how many each has. A word is a
+        string, or the id of a special one."""
+        young, old = self.young, self.old
+        fresh = [w for w in dict.fromkeys(words) if w not in young.number]
+        again = [w for w in fresh if w in old.number]
+        if again:
+            young.add(again, *old.get(np.array([old.number[w] for w in again])))
+        new = [w for w in fresh if w not in old.number]
+        if new:
+            plain = [w for w in new if not isinstance(w, int)]
+            young.add(plain, *self.merge_many([w.encode("utf-8", "surrogatepass") for w in plain]))
+            special = [w for w in new if isinstance(w, int)]
+            young.add(special, np.array(special, np.uint32), np.ones(len(special), np.int64))
+        number = young.number
+        out = young.get(np.array([number[w] for w in words], np.int64))
+        if len(number) > REMEMBERED or young.size > REMEMBERED_BYTES:
+            self.young, self.old = Words(), young
         return out
 
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids of a whole text as little-endian 32-bit integers, and the decoded text."""
-        ids: list[bytes] = []
-        tokens: list[str] = []
+    def words_of(self, text: str) -> Iterator[list]:
+        """The words of a text in order, in runs of bounded size; special strings as their ids."""
         parts = self.cut.split(text) if self.cut and "<" in text else [text]
         for k, part in enumerate(parts):
             if k % 2:
-                i = self.special[part]
-                ids.append(i.to_bytes(4, "little"))
-                tokens.append(self.decode([i]))
+                yield [self.special[part]]
                 continue
-            if not part.isascii():
-                part = unicodedata.normalize("NFC", part)
-                if _NEW.search(part):
-                    part = part.translate(_NEW_LOWER)
-            part = part.replace("Σ", "σ").lower()  # lower case letter by letter
-            words = _SPLIT.split(part) if _ODD_SPACE.search(part) else part.split()
-            known = self.chunks
-            for w in words:
-                if w:
-                    a, b = known.get(w) or self.chunk(w)
-                    if a:
-                        ids.append(a)
-                        tokens.append(b)
-        return b"".join(ids), " ".join(tokens)
-
-    def decode(self, ids) -> str:
-        """Tokens joined by blanks: the file names no decoder that would glue them."""
-        token = self.token
-        return " ".join([token[i] for i in ids])
+            lo = 0
+            while lo < len(part):
+                hi = lo + OUT_BYTES
+                if hi < len(part):      # before white space, which nothing composes with
+                    gap = _SPLIT.search(part, hi)
+                    hi = gap.start() if gap else len(part)
+                piece = part[lo:hi]
+                lo = hi
+                if not piece.isascii():
+                    piece = unicodedata.normalize("NFC", piece)
+                    if _NEW.search(piece):
+                        piece = piece.translate(_NEW_LOWER)
+                    piece = piece.replace("Σ", "σ")    # lower case letter by letter
+                yield split_words(piece.lower())
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        words: list = []
+        marks: list[tuple[int, int]] = []
+
+        def flush() -> None:
+            ids, count = self.look_up(words)
+            ends, lo = np.concatenate(([0], np.cumsum(count))), 0
+            for text, k in marks:
+                out[text].append(ids[ends[lo]:ends[lo + k]])
+                lo += k
+            words.clear()
+            marks.clear()
+
+        for t, text in enumerate(texts):
+            for run in self.words_of(text):
+                words += run
+                marks.append((t, len(run)))
+                if len(words) >= WORDS_AT_ONCE:
+                    flush()
+        if words:
+            flush()
+        return [np.concatenate(x) if len(x) > 1 else x[0] if x else np.zeros(0, np.uint32) for x in out]
+
+    def encode(self, text: str) -> tuple[bytes, str]:
+        """Ids of a whole text as little-endian 32-bit integers, and the decoded text."""
+        ids = self.encode_all([text])[0]
+        return ids.astype("<u4").tobytes(), b"".join(self.decoded(ids)).decode("utf-8", "surrogatepass")
+
+    def decoded(self, ids: np.ndarray) -> Iterator[bytes]:
+        """Tokens joined by blanks (the file names no decoder that would glue them), in UTF-8, in pieces."""
+        for lo in range(0, len(ids), WORDS_AT_ONCE):
+            some = ids[lo:lo + WORDS_AT_ONCE].astype(np.int64)
+            at = self.told_at[some]
+            piece = self.told[places(at, self.told_at[some + 1] - at)].tobytes()
+            yield piece if lo + WORDS_AT_ONCE < len(ids) else piece[:-1]
+
+
+def places(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... (size of them) for each pair, one after the other."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+class Words:
+    """Words and their ids in flat buffers: a word's number leads to its ids."""
+
+    def __init__(self):
+        self.number: dict = {}
+        self.flat, self.begin = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
+        self.size = 0       # bytes of words and ids
+
+    def add(self, words: list, ids: np.ndarray, count: np.ndarray) -> None:
+        n, used = len(self.number), int(self.begin[len(self.number)])
+        while used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        while n + len(words) >= len(self.begin):
+            self.begin = np.concatenate((self.begin, np.zeros_like(self.begin)))
+        self.flat[used:used + len(ids)] = ids
+        self.begin[n + 1:n + 1 + len(words)] = used + np.cumsum(count)
+        self.number.update(zip(words, range(n, n + len(words))))
+        self.size += 4 * len(ids) + sum(len(w) if isinstance(w, str) else 4 for w in words)
+
+    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.begin[numbers]
+        count = self.begin[numbers + 1] - at
+        return self.flat[places(at, count)], count
 
 
 _LOADED: dict[str, Bpe] = {}
@@ -237,6 +401,13 @@ def loaded(spec: str) -> Bpe:
     return _LOADED[key]
 
 
+def digest(pieces) -> str:
+    out = hashlib.sha256()
+    for piece in pieces:
+        out.update(piece)
+    return out.hexdigest()
+
+
 _TYPES = {"n_tokens": "long", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
 
 
@@ -260,13 +431,13 @@ def encode(docs: DataFrame, vocabulary: str, want: tuple[str, ...] = ("n_tokens"
         bpe = loaded(spec.value)
         for batch in batches:
             for part in row_slices(batch, "text", OUT_BYTES):
-                done = [bpe.encode(text.as_py() or "") for text in part.column("text")]
+                done = bpe.encode_all([text or "" for text in part.column("text").to_pylist()])
                 made = {
-                    "n_tokens": lambda: pa.array([len(ids) // 4 for ids, _ in done], pa.int64()),
-                    "ids": lambda: pa.ListArray.from_arrays(np.cumsum([0, *(len(ids) // 4 for ids, _ in done)], dtype=np.int32), pa.array(np.frombuffer(b"".join(ids for ids, _ in done), "<i4"))),
-                    "decoded": lambda: pa.array([text for _, text in done], pa.string()),
-                    "ids_sha256": lambda: pa.array([hashlib.sha256(ids).hexdigest() for ids, _ in done], pa.string()),
-                    "decoded_sha256": lambda: pa.array([hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() for _, text in done], pa.string()),
+                    "n_tokens": lambda: pa.array([len(ids) for ids in done], pa.int64()),
+                    "ids": lambda: pa.ListArray.from_arrays(np.cumsum([0, *map(len, done)], dtype=np.int32), pa.array(np.concatenate(done).view(np.int32))),
+                    "decoded": lambda: pa.array([b"".join(bpe.decoded(ids)) for ids in done], pa.binary()).cast(pa.string()),
+                    "ids_sha256": lambda: pa.array([digest([ids.astype("<u4").tobytes()]) for ids in done], pa.string()),
+                    "decoded_sha256": lambda: pa.array([digest(bpe.decoded(ids)) for ids in done], pa.string()),
                 }
                 yield pa.RecordBatch.from_arrays([part.column("id"), *(made[c]() for c in want)], names=[id_col, *want])
 

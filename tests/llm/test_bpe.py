@@ -55,3 +55,30 @@ def test_table(spark, both):
     assert len(got[3]) == 2 and got[3][0] == got[3][1] and got[None][0]["n_tokens"] == 2
     assert got[4][0]["n_tokens"] == len(both[1].encode(LONG, add_special_tokens=False).ids)
     assert bpe.encode(docs.limit(0), vocabulary_path()).collect() == []
+
+
+def test_trees_side_by_side_are_the_single_tree(both):
+    own, _ = both
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("aeinrst'é日-1"), rng.integers(1, 90))) for _ in range(3000)]
+    ids, count = own.merge_many([w.encode() for w in words])
+    ends = np.cumsum(count)
+    for w, hi, n in zip(words, ends, count):
+        assert ids[hi - n:hi].tolist() == own.encode_word(w)
+
+
+def test_small_memory_and_small_runs_change_nothing(both, monkeypatch):
+    with open(vocabulary_path(), encoding="utf-8") as f:
+        own = bpe.Bpe(f.read())
+    rng = np.random.default_rng(10)
+    vocabulary = ["wort", "œuvre", "l'été", "x1y2", "<|endoftext|>", "Ärger.", "日本", "#", "the"] + [f"w{k}" for k in range(60)]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(0, 200))) for _ in range(60)]
+    want = [both[1].encode(t, add_special_tokens=False).ids for t in texts]
+    for remembered, at_once, out in ((3, 7, 11), (40, 100, 1 << 21), (150_000, 1 << 18, 5)):
+        monkeypatch.setattr(bpe, "REMEMBERED", remembered)
+        monkeypatch.setattr(bpe, "WORDS_AT_ONCE", at_once)
+        monkeypatch.setattr(bpe, "OUT_BYTES", out)
+        got = own.encode_all(texts)
+        assert [g.tolist() for g in got] == want
+        assert [b"".join(own.decoded(g)).decode() for g in got] == [both[1].decode(w, skip_special_tokens=False) for w in want]
+        assert len(own.young.number) <= remembered + at_once + 200
