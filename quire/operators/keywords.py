@@ -1,29 +1,35 @@
 """Per-cluster keywords by TF-IDF, for all clusters in one job.
 
 The studied pipeline loops over clusters and fits one vectoriser per
-cluster in memory. Here the whole corpus is one long-format job keyed by
-(cluster, term):
+cluster in memory. Here terms are counted inside each document's row, and two passes
+over the documents serve all clusters; no token occurrence is shuffled or written:
 
-    docs ─explode terms─▶ (c, doc, term, tf)  ── checkpointed, read three times
-           ├─ groupBy(c, term) → df, corpus count → df filters → top max_features per c
-           ├─ ⋈ vocab on (c, term) → w = tf·idf ; window over (c, doc) → L2 norm
-           └─ groupBy(c, term) Σ w/‖doc‖ / n_docs → top-k per cluster
+    docs ─tokens, n-grams, counts in the row─▶ (c, doc, terms, counts)
+      pass 1: explode ─▶ partial groupBy(c, term) → df, corpus count → df filters
+              → top max_features per c, in two levels (c, salt), then c
+      pass 2: each task looks its documents' terms up in the vocabulary, takes the
+              norm inside the row and adds up w/‖doc‖ per (c, term) → one sum
+              per task and vocabulary entry → top-k per c, in two levels
+
+The vocabulary goes to the tasks as a broadcast only after a count shows at most
+``VOCAB_ROWS`` entries; a larger one is joined by a shuffle on (c, term).
 
 Formula (the vectoriser's documented defaults): raw tf; idf = ln((1+n)/(1+df)) + 1;
 rows L2-normalised over the retained vocabulary; score = column mean over all
 n documents of the cluster. Ranking ties: round(score, 12) desc, term desc;
 max_features ties: corpus count desc, term asc.
 
-Skew: noise is filtered before the explode; the per-cluster rank filters run
-as ``WindowGroupLimit`` below the shuffle, so a cluster holding a third of
-the corpus sends at most (map tasks × limit) rows to its final task; the
-(c, term) join is split by AQE when one pair is hot.
+Skew: a cluster that holds a third of the corpus sends, in the first level, at most
+max_features rows per salt to its final task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,51 +75,119 @@ def ngrams(toks: Column, n_max: int = 2) -> Column:
     return grams
 
 
+def doc_vectors(docs: DataFrame, cluster: str = "cluster_id", doc: str = "doc_id", text: str = "text",
+                stop_words: Sequence[str] = (), n_max: int = 2) -> DataFrame:
+    """M2: (c, d, terms array<string>, counts array<int>): the distinct terms of each document in
+    order, counted inside the row (sorted, then the lengths of runs)."""
+    # one column a step, so that no step is evaluated again inside the next one's lambda
+    t = docs.select(F.col(cluster).alias("c"), F.col(doc).alias("d"), tokens(F.col(text), stop_words).alias("_tk"))
+    g = t.select("c", "d", F.sort_array(ngrams(F.col("_tk"), n_max)).alias("_g"))
+    begin = F.filter(F.sequence(F.lit(1), F.greatest(F.size("_g"), F.lit(1))),
+                     lambda i: (i <= F.size("_g")) & ((i == 1) | (F.get("_g", i - 1) != F.get("_g", i - 2))))
+    b = g.select("c", "d", "_g", begin.alias("_b"))
+    after = F.concat(F.slice("_b", 2, 1 << 30), F.array(F.size("_g") + 1))
+    return b.select("c", "d", F.transform("_b", lambda i: F.get("_g", i - 1)).alias("terms"),
+                    F.when(F.size("_b") > 0, F.zip_with(after, "_b", lambda x, y: x - y)).otherwise(F.array().cast("array<int>")).alias("counts"))
+
+
 def doc_terms(docs: DataFrame, cluster: str = "cluster_id", doc: str = "doc_id", text: str = "text",
               stop_words: Sequence[str] = (), n_max: int = 2) -> DataFrame:
-    """M2 + A9: (cluster, doc, term, tf); per-doc counts are partial-aggregated map-side."""
-    # tokens first (one regex pass per document), then the n-grams of that column
-    t = docs.select(F.col(cluster).alias("c"), F.col(doc).alias("d"), tokens(F.col(text), stop_words).alias("_tk"))
-    g = t.select("c", "d", F.explode(ngrams(F.col("_tk"), n_max)).alias("term"))
-    return g.groupBy("c", "d", "term").agg(F.count(F.lit(1)).alias("tf"))
+    """M2 + A9: (cluster, doc, term, tf) in long form; nothing is shuffled."""
+    v = doc_vectors(docs, cluster, doc, text, stop_words, n_max)
+    return v.select("c", "d", F.explode(F.arrays_zip("terms", "counts")).alias("_x")).select(
+        "c", "d", F.col("_x.terms").alias("term"), F.col("_x.counts").cast("bigint").alias("tf"))
+
+
+def top_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int, salt: Column, rank: str = "_r",
+                  salts: int = 16) -> DataFrame:
+    """The first ``n`` rows of each group in ``order``, in two levels: of (group, salt), then of the group."""
+    first = Window.partitionBy(group, "_salt").orderBy(*order)
+    some = (df.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(salts)))
+            .withColumn("_r0", F.row_number().over(first)).filter(F.col("_r0") <= n).drop("_salt", "_r0"))
+    return some.withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col(rank) <= n)
+
+
+# vocabulary entries (cluster, term, idf) that may be broadcast to the tasks
+VOCAB_ROWS = 1 << 20
 
 
 def cluster_tfidf(docs: DataFrame, cluster: str = "cluster_id", doc: str = "doc_id", text: str = "text",
                   stop_words: Sequence[str] = (), min_df: int = 1, max_df: float | None = None,
-                  max_features: int | None = None, top_k: int = 10, min_docs: int = 1) -> DataFrame:
+                  max_features: int | None = None, top_k: int = 10, min_docs: int = 1,
+                  vocab_rows: int | None = None) -> DataFrame:
     """M3: top-k terms per cluster by mean TF-IDF.
 
     Returns (cluster, rank, term, score) for every cluster that has at least
     ``min_docs`` documents and a non-empty vocabulary after the filters.
     """
     docs = docs.select(F.col(cluster).alias("c"), F.col(doc).alias("d"), F.col(text).alias("t"))
-    sizes = docs.groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
-    tf = doc_terms(docs.join(sizes.select("c"), "c", "left_semi"), "c", "d", "t", stop_words)
-    tf = cut_lineage(tf)  # read three times below; lineage cut in the shared checkpoint folder
-
-    stats = tf.groupBy("c", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    stats = stats.join(sizes, "c")
-    keep = F.col("df") >= min_df
-    if max_df is not None:
-        keep = keep & (F.col("df") <= F.lit(max_df) * F.col("n"))
-    vocab = stats.filter(keep)
+    sizes = cut_lineage(docs.groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs))
+    vectors = doc_vectors(docs, "c", "d", "t", stop_words)
+
+    long = vectors.select("c", F.explode(F.arrays_zip("terms", "counts")).alias("_x"))
+    stats = long.groupBy("c", F.col("_x.terms").alias("term")).agg(F.count(F.lit(1)).alias("df"), F.sum(F.col("_x.counts").cast("bigint")).alias("cf"))
+    stats = stats.filter(F.col("df") >= min_df).join(sizes, "c")
+    vocab = stats.filter(F.col("df") <= F.lit(max_df) * F.col("n")) if max_df is not None else stats
     if max_features is not None:
-        w = Window.partitionBy("c").orderBy(F.col("cf").desc(), F.col("term").asc())
-        vocab = vocab.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_features).drop("_r")
-    vocab = vocab.select("c", "term", "n",
-                         (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
-
-    wt = tf.join(vocab, ["c", "term"]).select("c", "d", "term", "n", (F.col("tf") * F.col("idf")).alias("w"))
-    # document L2 norm over its retained terms: a window over one document (bounded
-    # group), one shuffle instead of an aggregate joined back
-    doc = Window.partitionBy("c", "d")
-    wn = wt.withColumn("norm", F.sqrt(F.sum(F.col("w") * F.col("w")).over(doc)))
-    scored = wn.groupBy("c", "term").agg((F.sum(F.col("w") / F.col("norm")) / F.max("n")).alias("score"))
-    rank = Window.partitionBy("c").orderBy(F.round("score", 12).desc(), F.col("term").desc())
-    top = scored.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= top_k)
+        vocab = top_per_group(vocab, "c", [F.col("cf").desc(), F.col("term").asc()], max_features, F.col("term"))
+    idf = F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    vocab = cut_lineage(vocab.select("c", "term", "n", idf.alias("idf")))
+
+    most = VOCAB_ROWS if vocab_rows is None else vocab_rows
+    rows = vocab.limit(most + 1).toArrow() if vocab.limit(most + 1).count() <= most else None
+    sums = _sums_by_join(vectors, vocab) if rows is None else _sums_in_tasks(vectors, rows)
+    n = vocab.groupBy("c").agg(F.max("n").alias("n"))
+    scored = sums.groupBy("c", "term").agg(F.sum("part").alias("s")).join(n, "c").withColumn("score", F.col("s") / F.col("n"))
+    order = [F.round("score", 12).desc(), F.col("term").desc()]
+    top = top_per_group(scored.select("c", "term", "score"), "c", order, top_k, F.col("term"), "rank")
     return top.select(F.col("c").alias(cluster), F.col("rank").cast("int").alias("rank"), "term", "score")
 
 
+def _sums_by_join(vectors: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(c, term, part): w/‖doc‖ of each document and vocabulary term, by a shuffle on (c, term)."""
+    long = vectors.select("c", "d", F.explode(F.arrays_zip("terms", "counts")).alias("_x")).select("c", "d", F.col("_x.terms").alias("term"), F.col("_x.counts").alias("tf"))
+    wt = long.join(vocab, ["c", "term"]).select("c", "d", "term", (F.col("tf") * F.col("idf")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("c", "d")))
+    return wt.withColumn("norm", norm).select("c", "term", (F.col("w") / F.col("norm")).alias("part"))
+
+
+def _sums_in_tasks(vectors: DataFrame, vocab: pa.Table) -> DataFrame:
+    """(c, term, part): sums of w/‖doc‖ of each task's documents. A vocabulary term is
+    a number: its place among the distinct terms; (cluster, term) is a place in the table."""
+    words = pc.unique(vocab["term"].combine_chunks() if vocab.num_rows else pa.array([], pa.string()))
+    clusters = pc.unique(vocab["c"].combine_chunks() if vocab.num_rows else pa.array([], vocab["c"].type))
+    key = pc.index_in(vocab["c"], clusters).to_numpy().astype(np.int64) * max(1, len(words)) + pc.index_in(vocab["term"], words).to_numpy()
+    order = np.argsort(key)
+    held = vectors.sparkSession.sparkContext.broadcast((words, clusters, key[order], vocab["idf"].to_numpy()[order]))
+    schema = f"c {vectors.schema['c'].dataType.simpleString()}, term string, part double"
+
+    def run(batches):
+        words, clusters, key, idf = held.value
+        sums = np.zeros(len(key))
+        for batch in batches:
+            terms = batch.column("terms")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(terms.offsets.to_numpy()))
+            coded = pc.dictionary_encode(terms.flatten())
+            coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
+            word = pc.index_in(coded.dictionary, words).fill_null(-1).to_numpy(zero_copy_only=False)[coded.indices.to_numpy(zero_copy_only=False)]
+            group = pc.index_in(batch.column("c"), clusters).fill_null(-1).to_numpy(zero_copy_only=False)[row]
+            mine = np.flatnonzero((word >= 0) & (group >= 0))
+            if not len(mine):
+                continue
+            at = group[mine].astype(np.int64) * len(words) + word[mine]
+            place = np.minimum(np.searchsorted(key, at), len(key) - 1)
+            ok = key[place] == at
+            mine, place = mine[ok], place[ok]
+            w = batch.column("counts").flatten().to_numpy(zero_copy_only=False)[mine] * idf[place]
+            norm = np.sqrt(np.bincount(row[mine], weights=w * w, minlength=batch.num_rows))
+            sums += np.bincount(place, weights=w / norm[row[mine]], minlength=len(key))
+        got = np.flatnonzero(sums)
+        if len(got):
+            yield pa.RecordBatch.from_arrays([clusters.take(pa.array(key[got] // len(words))), words.take(pa.array(key[got] % len(words))), pa.array(sums[got])], names=["c", "term", "part"])
+
+    return vectors.select("c", "terms", "counts").mapInArrow(run, schema)
+
+
 def inspect_keywords(clustered: DataFrame, top_k: int = 10, include_noise: bool = False) -> DataFrame:
     """M3a profile: n ≥ 20 docs, df ≥ 5, df ≤ 0.8·n, 8,000 features, top 10; noise
     excluded unless ``include_noise`` (then −1 is profiled like any cluster)."""

@@ -153,9 +153,43 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "pos")
             .drop("_pid", "_lrn", "_off"))
 
 
+def late_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "pos",
+                    ties: Sequence[Column] = ()) -> DataFrame:
+    """1-based position of every row in an order of its key columns, for rows that carry
+    texts: only the keys are range-partitioned and numbered, with how often each stands, and
+    the numbers are joined to the rows once. ``order`` is made of ``keys``; equal keys are
+    numbered in the order of ``ties``.
+    """
+    from quire.session import cut_lineage
+
+    counts = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    ranged = cut_lineage(counts.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()))
+    until = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_pid").agg(F.sum("_n").alias("_m")).select("_pid", F.coalesce(
+        F.sum("_m").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))   # a row a partition
+    starts = (ranged.withColumn("_before", F.coalesce(F.sum("_n").over(until), F.lit(0))).join(F.broadcast(offsets), "_pid")
+              .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], (F.col("_off") + F.col("_before")).alias("_start")))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    joined = df.join(starts, same).drop(*[f"_k{i}" for i in range(len(keys))])
+    place = F.lit(1)
+    if counts.filter(F.col("_n") > 1).limit(1).count():
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*(ties or [F.lit(1)])))
+    return joined.withColumn(name, (F.col("_start") + place).cast("bigint")).drop("_start")
+
+
 def shuffle_position(df: DataFrame, id_col: str, seed: int = 7, name: str = "shuffle_pos") -> DataFrame:
     """A seeded shuffle expressed as a 1-based ``shuffle_pos`` column."""
-    return global_row_number(df, [sample_key(id_col, seed), F.col(id_col)], name)
+    return late_row_number(df, [id_col], [sample_key(id_col, seed), F.col(id_col)], name)
+
+
+#: Rows up to which a lookup table is broadcast; a larger one is joined by a shuffle.
+SMALL_ROWS = 100_000
+
+
+def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The table marked for a broadcast if a count shows it to be small, else as it is."""
+    most = SMALL_ROWS if rows is None else rows
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 # ------------------------------------------------------------ counters --

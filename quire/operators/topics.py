@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators.relational import dedupe_last
+from quire.operators import relational as R
+from quire.session import cut_lineage
 from quire.sources.fixtures import MISC_TOPIC, NOISE, UNASSIGNED
 
-# A manual topic file has one line per cluster; everything that folds it in
-# one group checks this bound first (the fold tests membership in the ids
-# used so far, so its cost is quadratic in the number of lines).
-MAX_TOPIC_LINES = 100_000
+#: Lines that one task folds.
+BLOCK_LINES = 50_000
 
 
 def parse_topic_lines(lines: DataFrame, line_col: str = "line", no_col: str = "line_no") -> DataFrame:
@@ -26,51 +26,65 @@ def parse_topic_lines(lines: DataFrame, line_col: str = "line", no_col: str = "l
     return ok.select("line_no", T.topic_line_id("_l").alias("raw_id"), T.topic_line_name("_l").alias("topic"))
 
 
-def repair_topic_ids(parsed: DataFrame, max_lines: int = MAX_TOPIC_LINES) -> DataFrame:
+def repair_topic_ids(parsed: DataFrame, block_lines: int | None = None) -> DataFrame:
     """Sequential duplicate-id repair in line order.
 
     Rule: the first line keeps its id; a later line whose id was already
-    used takes (previous fixed id + 1), otherwise keeps its own id. The rule
-    is a left fold with a growing set, so it runs as ``aggregate`` over the
-    ordered id list of the (size-checked) topic file.
+    used takes (previous fixed id + 1), otherwise keeps its own id.
+
+    The lines are numbered and cut into blocks, and every block is folded by a task of
+    its own, given what earlier blocks hand on: the last fixed id before it, and
+    which of its ids an earlier block has used (a join on the id). Both come from the
+    round before; a block is right once all earlier ones are, and in fact as
+    soon as what they hand on no longer changes, so rounds end when no id changes.
     Returns (line_no, raw_id, fixed_id, topic).
     """
-    xs = F.array_sort(F.collect_list(F.struct(F.col("line_no").cast("bigint").alias("line_no"),
-                                              F.col("raw_id").cast("bigint").alias("raw_id"))))
-    folded = parsed.agg(xs.alias("xs"))
-    folded = folded.select(F.when(F.size("xs") > max_lines,
-                                  F.raise_error(F.lit(f"topic file exceeds {max_lines} lines")))
-                           .otherwise(F.col("xs")).alias("xs"))
-    init = F.struct(F.array().cast("array<bigint>").alias("used"), F.lit(None).cast("bigint").alias("cur"),
-                    F.array().cast("array<struct<line_no:bigint,fixed_id:bigint>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        fixed = (F.when(acc["cur"].isNull(), x["raw_id"])
-                 .when(F.array_contains(acc["used"], x["raw_id"]), acc["cur"] + 1)
-                 .otherwise(x["raw_id"]))
-        return F.struct(F.array_append(acc["used"], fixed).alias("used"), fixed.alias("cur"),
-                        F.array_append(acc["out"], F.struct(x["line_no"].alias("line_no"),
-                                                             fixed.alias("fixed_id"))).alias("out"))
-
-    out = folded.select(F.explode(F.aggregate("xs", init, step)["out"]).alias("o"))
-    out = out.select("o.line_no", "o.fixed_id")
-    return parsed.join(out, "line_no").select("line_no", "raw_id", "fixed_id", "topic")
+    size = BLOCK_LINES if block_lines is None else block_lines
+    kept = parsed.select(F.col("line_no").cast("bigint").alias("line_no"), F.col("raw_id").cast("bigint").alias("raw_id"), "topic")
+    lines = cut_lineage(R.global_row_number(kept, [F.col("line_no"), F.col("raw_id")], "pos")
+                        .withColumn("block", F.floor((F.col("pos") - 1) / size)))
+    columns = "pos long, block long, line_no long, raw_id long, fixed_id long, topic string"
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos")
+        carry, used, fixed = pdf["carry"].iloc[0], set(), []
+        now = None if pd.isna(carry) else int(carry)
+        for raw, before in zip(pdf["raw_id"].tolist(), pdf["before"].tolist()):
+            now = now + 1 if now is not None and (before or raw in used) else raw
+            used.add(now)
+            fixed.append(now)
+        return pdf.assign(fixed_id=fixed)[["pos", "block", "line_no", "raw_id", "fixed_id", "topic"]]
+
+    told = lines.withColumn("before", F.lit(False)).withColumn("carry", F.lit(None).cast("string"))
+    state = cut_lineage(told.groupBy("block").applyInPandas(fold, columns))
+    while state.filter(F.col("block") > 0).limit(1).count():
+        first = state.groupBy(F.col("fixed_id").alias("raw_id")).agg(F.min("block").alias("_at"))
+        last = state.groupBy((F.col("block") + 1).alias("block")).agg(F.max_by("fixed_id", "pos").cast("string").alias("carry"))
+        told = (lines.join(first, "raw_id", "left").withColumn("before", F.coalesce(F.col("_at") < F.col("block"), F.lit(False)))
+                .join(R.small_side(last), "block", "left").drop("_at"))
+        new = cut_lineage(told.groupBy("block").applyInPandas(fold, columns))
+        was = state.select("pos", F.col("fixed_id").alias("_was"))
+        changed = new.join(was, "pos").filter(F.col("fixed_id") != F.col("_was")).limit(1).count()
+        state = new
+        if not changed:
+            break
+    return state.select("line_no", "raw_id", "fixed_id", "topic")
 
 
 def topic_lookup(lines: DataFrame) -> DataFrame:
     """Topic file → (cluster, manual_topic); a later line overwrites an earlier one."""
     fixed = repair_topic_ids(parse_topic_lines(lines))
-    last = dedupe_last(fixed.select(F.col("fixed_id").alias("cluster"), "topic", "line_no"), "cluster", "line_no")
+    last = R.dedupe_last(fixed.select(F.col("fixed_id").alias("cluster"), "topic", "line_no"), "cluster", "line_no")
     return last.select(F.col("cluster").cast("int").alias("cluster"), F.col("topic").alias("manual_topic"))
 
 
 def apply_manual_topics(corpus: DataFrame, lookup: DataFrame) -> DataFrame:
     """−999 → 'razno'; mapped cluster → manual topic; else unchanged.
 
-    The lookup is the size-checked topic file, so broadcasting it is bounded.
+    The lookup is broadcast only if its count allows it.
     Adds ``topic_source`` in {razno, manual, untouched} for the A2 counters.
     """
-    j = corpus.join(F.broadcast(lookup), "cluster", "left")
+    j = corpus.join(R.small_side(lookup), "cluster", "left")
     src = (F.when(F.col("cluster") == UNASSIGNED, F.lit("razno"))
            .when(F.col("manual_topic").isNotNull(), F.lit("manual")).otherwise(F.lit("untouched")))
     topic = (F.when(F.col("cluster") == UNASSIGNED, F.lit(MISC_TOPIC))

@@ -14,7 +14,6 @@ from quire.sources.fixtures import MISC_TOPIC, UNASSIGNED
 SAMPLE_UNASSIGNED = 5000   # unassigned posts kept in the training set
 EXTRA_TOPICS = 1           # extra (other) topics appended per post
 SCORE_TAG = "engagement_score"
-MAX_TOPICS = 100_000       # bound on the broadcast topic set (one row per topic)
 
 
 def is_unassigned(cluster: Column, topic: Column) -> Column:
@@ -26,10 +25,7 @@ def topic_set(df: DataFrame, topic_col: str = "cluster_topic") -> DataFrame:
     """Distinct non-empty stripped lower-case topics, with a 1-based
     alphabetical rank (computed without a single-task window)."""
     t = df.select(T.topic_norm(F.col(topic_col)).alias("topic")).filter(F.col("topic") != "").distinct()
-    ranked = R.global_row_number(t, [F.col("topic")], "topic_rank")
-    # the set is broadcast by ``with_extra_topic``: fail rather than broadcast an unbounded table
-    return ranked.withColumn("topic_rank", F.when(F.col("topic_rank") > MAX_TOPICS, F.raise_error(
-        F.lit(f"more than {MAX_TOPICS} topics"))).otherwise(F.col("topic_rank")))
+    return R.global_row_number(t, [F.col("topic")], "topic_rank")
 
 
 def _hash_int(*parts: Column) -> Column:
@@ -45,18 +41,19 @@ def with_extra_topic(df: DataFrame, topics: DataFrame, id_col: str = "doc_id",
     Equivalent to ``join(topics, topic != main)`` + pick one, without
     materialising the pairs: candidates are the ranks 1..n except the main
     topic's rank, so the k-th candidate maps to rank k (+1 past the own rank).
-    ``topics`` is the topic set of ``topic_set`` (one row per topic, at most
-    MAX_TOPICS, checked there), so broadcasting it is bounded.
+    ``topics`` is the topic set of ``topic_set`` (one row per topic), broadcast if a
+    count shows it to be small and joined by shuffles otherwise.
     """
-    n = topics.agg(F.count(F.lit(1))).scalar()
+    topics = cut_lineage(topics)
+    n = F.lit(topics.count())
     own = topics.select(F.col("topic").alias("_main"), F.col("topic_rank").alias("_own"))
-    x = df.withColumn("_main", T.topic_norm(F.col(topic_col))).join(F.broadcast(own), "_main", "left")
+    x = df.withColumn("_main", T.topic_norm(F.col(topic_col))).join(R.small_side(own), "_main", "left")
     n_cand = F.when(F.col("_own").isNull(), n).otherwise(n - 1)
     k = F.when(n_cand > 0, F.pmod(_hash_int(F.lit(seed), F.col(id_col)), n_cand) + 1)
     pick = F.when(F.col("_own").isNotNull() & (k >= F.col("_own")), k + 1).otherwise(k)
     x = x.withColumn("_pick", pick)
     extra = topics.select(F.col("topic_rank").alias("_pick"), F.col("topic").alias("extra_topic"))
-    return x.join(F.broadcast(extra), "_pick", "left").drop("_pick", "_own")
+    return x.join(R.small_side(extra), "_pick", "left").drop("_pick", "_own")
 
 
 def training_text(score: Column, main: Column, extra: Column | None, text: Column,

@@ -12,7 +12,7 @@ from quire.operators import topics as TP
 from quire.operators import trainset as TS
 from quire.plans import sqlfrag as Q
 from quire.plans.registry import register
-from quire.session import scratch_path
+from quire.session import cut_lineage, scratch_path
 from quire.sources import fixtures as FX
 from quire.sources import frontier as FR
 from quire.sources import jsonl as J
@@ -485,7 +485,7 @@ def training_set(spark, sf):
 @register("extra_topics", SQL_TRAINING + "SELECT doc_id, main, extra FROM final", ("votes_by_text", "topic_corpus"))
 def extra_topics(spark, sf):
     """One seeded topic other than the post's own."""
-    s = scored_corpus(Tables(spark, sf))
+    s = cut_lineage(scored_corpus(Tables(spark, sf)).drop("text"))   # read three times
     flag = TS.is_unassigned(F.col("cluster"), F.col("cluster_topic"))
     picked = s.filter(~flag).unionByName(R.sample_fixed(s.filter(flag), "doc_id", TS.SAMPLE_UNASSIGNED))
     x = TS.with_extra_topic(picked, TS.topic_set(s))

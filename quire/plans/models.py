@@ -15,7 +15,7 @@ from quire.plans import sqlfrag as Q
 from quire.plans.corpus import SQL_TRAINING, scored_corpus
 from quire.plans.keywords import INSPECT_SQL, sql_tfidf
 from quire.plans.registry import register
-from quire.plans.vectors import META_K, META_MIN_DOCS, _base
+from quire.plans.vectors import META_CLUSTER_SQL, META_K, META_MIN_DOCS, _base
 from quire.sources import fixtures as FX
 from quire.session import cut_lineage
 from quire.sources.tables import Tables
@@ -144,13 +144,14 @@ base AS (SELECT CAST(e.label AS BIGINT) * 10 + CASE d.lang WHEN 'de' THEN 1 WHEN
                      WHEN 'fr' THEN 4 ELSE 0 END AS base_id, d.doc_id, d.text, e.label
          FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id)
 """
-META_SQL = f"""
-WITH {BASE_SQL.strip()},
+def meta_sql(groups: str) -> str:
+    """Keywords of base clusters and names of their meta clusters; ``groups``: base_id, meta_id, n of base clusters."""
+    return f"""
+{BASE_SQL.strip()},
 {sql_tfidf(f"SELECT base_id AS c, doc_id AS d, {Q.strip('text')} AS t FROM base", K.TAG_STOPWORDS,
            2, None, 100, 3, 1).strip()},
 kw AS (SELECT c, string_agg(term, '_' ORDER BY rank) AS kw FROM top GROUP BY c),
-bs AS (SELECT base_id, any_value(label) AS meta_id, count(*) AS n FROM base GROUP BY base_id
-       HAVING count(*) >= {META_MIN_DOCS}),
+bs AS ({groups}),
 bk AS (SELECT bs.base_id, bs.meta_id, coalesce(nullif(kw.kw, ''), 'TOPIC_' || CAST(bs.base_id AS VARCHAR)) AS keyword,
               row_number() OVER (PARTITION BY bs.meta_id ORDER BY bs.base_id) AS crank
        FROM bs LEFT JOIN kw ON bs.base_id = kw.c),
@@ -167,6 +168,10 @@ names AS (SELECT m.meta_id, CASE WHEN t.name IS NOT NULL AND t.name <> '' THEN '
 """
 
 
+META_SQL = "WITH " + meta_sql(f"""SELECT base_id, any_value(label) AS meta_id, count(*) AS n FROM base GROUP BY base_id
+       HAVING count(*) >= {META_MIN_DOCS}""")
+
+
 def _meta_keywords(t: Tables):
     """(base_id, meta_id, keyword, crank) for base clusters with ≥ 5 posts; meta id = label."""
     b = _base(t)
@@ -218,7 +223,10 @@ def meta_topic_map(spark, sf):
     return bk.join(meta_names(bk), "meta_id").select(F.col("base_id").alias("cluster_id"), "meta_id", "meta_topic")
 
 
-@register("meta_cluster_named")
+@register("meta_cluster_named", META_CLUSTER_SQL.rstrip() + "," + meta_sql("""SELECT base.base_id, any_value(CAST(meta.meta_id AS INTEGER)) AS meta_id, count(*) AS n
+FROM base JOIN meta ON base.base_id = meta.base_id GROUP BY base.base_id""") + """
+SELECT bk.base_id AS cluster_id, bk.meta_id, n.meta_topic FROM bk JOIN names n ON bk.meta_id = n.meta_id
+""")
 def meta_cluster_named(spark, sf):
     """M11 + M12: average-linkage meta clusters of the base-cluster centroids, named by their keywords."""
     t = Tables(spark, sf)

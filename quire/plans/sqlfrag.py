@@ -64,7 +64,10 @@ def sample_key(id_expr: str, seed: int = 42) -> str:
 
 # ---- fixture bindings, as CTE bodies ----
 CLUSTERED = """
-SELECT d.doc_id, d.text, d.source, CAST(coalesce(e.label, -1) AS INTEGER) AS cluster_id
+SELECT d.doc_id, d.text, d.source,
+       CAST(CASE WHEN e.label IS NOT NULL THEN e.label
+                 WHEN length(d.text) >= 40 THEN coalesce(TRY_CAST(regexp_extract(d.source, '[0-9]+$') AS INTEGER) + 10, -1)
+                 ELSE -1 END AS INTEGER) AS cluster_id
 FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id
 """
 

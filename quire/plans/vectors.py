@@ -138,6 +138,32 @@ labels AS (SELECT a.vec_id, CAST(coalesce(ren.cid, -1) AS INTEGER) AS cluster_id
 """
 
 
+CUTS = (0.9, 0.8)
+DENSITY_QUANTILE = 0.6
+
+
+def cuts_sql(cuts: str) -> str:
+    """Flat cuts at all radii of a table cuts(eps), from the pair distances."""
+    return f"""
+WITH RECURSIVE p AS (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.v, b.v) AS d FROM anchored a, anchored b
+      WHERE a.vec_id <> b.vec_id),
+core AS (SELECT i, d AS core FROM (SELECT i, d, row_number() OVER (PARTITION BY i ORDER BY d, j) AS rn FROM p)
+         WHERE rn = {max(DENSITY['min_samples'] - 1, 1)}),
+cuts AS ({cuts}),
+cp AS (SELECT eps, i FROM core, cuts WHERE core <= eps),
+edges AS (SELECT ci.eps, p.i, p.j FROM p JOIN cp ci ON p.i = ci.i JOIN cp cj ON p.j = cj.i AND ci.eps = cj.eps
+          WHERE p.d <= ci.eps),
+reach(eps, node, lab) AS (SELECT eps, i, i FROM cp
+                          UNION SELECT e.eps, e.j, r.lab FROM reach r JOIN edges e ON r.node = e.i AND r.eps = e.eps),
+comp AS (SELECT eps, node, min(lab) AS comp FROM reach GROUP BY eps, node),
+sizes AS (SELECT eps, comp, count(*) AS n FROM comp GROUP BY eps, comp HAVING count(*) >= {DENSITY['min_cluster_size']}),
+ren AS (SELECT eps, comp, row_number() OVER (PARTITION BY eps ORDER BY n DESC, comp) - 1 AS cid FROM sizes)
+SELECT round(cuts.eps, 6) AS eps, a.vec_id, CAST(coalesce(ren.cid, -1) AS INTEGER) AS cluster_id
+FROM anchored a CROSS JOIN cuts LEFT JOIN comp ON a.vec_id = comp.node AND cuts.eps = comp.eps
+LEFT JOIN ren ON comp.comp = ren.comp AND cuts.eps = ren.eps
+"""
+
+
 DENSITY_SQL = density_sql(**DENSITY)
 ASSIGN_SQL = DENSITY_SQL.strip() + """,
 ax AS (SELECT a.vec_id, a.v, l.cluster_id FROM anchored a JOIN labels l ON a.vec_id = l.vec_id),
@@ -164,6 +190,24 @@ def density_cluster(spark, sf):
     return _density_labels(Tables(spark, sf))
 
 
+@register("density_cuts", cuts_sql("SELECT unnest([" + ", ".join(f"{c}::DOUBLE" for c in CUTS) + "]) AS eps"), ("anchored",))
+def density_cuts(spark, sf):
+    """M7: two flat cuts of one minimum spanning tree of mutual reachability."""
+    t = Tables(spark, sf)
+    tree = C.density_tree(anchored(t), max(CUTS), DENSITY["min_samples"], id_col="vec_id", vec_col="v")
+    out = [C.flat_cut(tree, eps, DENSITY["min_cluster_size"], "vec_id").select(F.lit(eps).alias("eps"), "vec_id", "cluster_id") for eps in CUTS]
+    return out[0].unionByName(out[1])
+
+
+@register("density_quantile", cuts_sql(f"SELECT quantile_disc(core, {DENSITY_QUANTILE}) AS eps FROM core"), ("anchored",))
+def density_quantile(spark, sf):
+    """M7 with its radius from a quantile of the core distances."""
+    t = Tables(spark, sf)
+    tree = C.density_tree(anchored(t), None, DENSITY["min_samples"], DENSITY_QUANTILE, "vec_id", "v", forest=False)
+    cut = C.flat_cut(tree, tree.eps, DENSITY["min_cluster_size"], "vec_id")
+    return cut.select(F.round(F.lit(tree.eps), 6).alias("eps"), "vec_id", "cluster_id")
+
+
 @register("noise_assign", f"""
 WITH RECURSIVE {ASSIGN_SQL.strip()}
 SELECT vec_id, cluster_id, round(sim, 6) AS sim FROM best
@@ -213,7 +257,30 @@ def pca_reduce(spark, sf):
     return out
 
 
-@register("meta_cluster")
+#: One merge of the two groups of least mean distance a step; ties go to the smaller ids.
+META_CLUSTER_SQL = f"""
+WITH RECURSIVE vbase AS (
+  SELECT e.vec_id, CAST(e.label AS BIGINT) * 10 + coalesce(list_position(['de', 'en', 'es', 'fr'], d.lang), 0) AS base_id,
+         CAST(e.embedding AS DOUBLE[]) AS v
+  FROM embeddings e JOIN documents d ON e.vec_id = d.doc_id),
+cx AS (SELECT base_id, i, avg(v[i] / sqrt(list_sum(list_transform(v, lambda w: w * w)))) AS x
+       FROM (SELECT base_id, v, unnest(generate_series(1, len(v))) AS i FROM vbase
+             WHERE base_id IN (SELECT base_id FROM vbase GROUP BY base_id HAVING count(*) >= {META_MIN_DOCS}))
+       GROUP BY base_id, i),
+mcents AS (SELECT base_id, list(x ORDER BY i) AS c FROM cx GROUP BY base_id),
+mp AS (SELECT a.base_id AS i, b.base_id AS j, 1 - list_cosine_similarity(a.c, b.c) AS d FROM mcents a, mcents b),
+st(t, base_id, g) AS (
+  SELECT 0, base_id, base_id FROM mcents
+  UNION ALL
+  SELECT st.t + 1, st.base_id, CASE WHEN st.g = m.b THEN m.a ELSE st.g END
+  FROM st, (SELECT x.g AS a, y.g AS b FROM st x JOIN st y ON x.g < y.g JOIN mp ON mp.i = x.base_id AND mp.j = y.base_id
+            GROUP BY x.g, y.g ORDER BY avg(mp.d), x.g, y.g LIMIT 1) m),
+cut AS (SELECT base_id, g FROM st WHERE t = (SELECT greatest(count(*) - {META_K}, 0) FROM mcents)),
+meta AS (SELECT base_id, dense_rank() OVER (ORDER BY g) - 1 AS meta_id FROM cut)
+"""
+
+
+@register("meta_cluster", META_CLUSTER_SQL + "SELECT base_id, CAST(meta_id AS INTEGER) AS meta_id FROM meta")
 def meta_cluster(spark, sf):
     """Average-linkage (cosine) meta-clusters of base-cluster centroids of
     unit vectors; base clusters with fewer than 5 posts are skipped."""

@@ -16,6 +16,8 @@ from quire.sources.tables import Tables
 
 # ---- fixed values of the binding ----
 NOISE = -1            # density-cluster noise label
+SHORT = 40            # characters below which a text without a label is noise
+FIRST_SOURCE_CLUSTER = 10
 UNASSIGNED = -999     # topic corpus "no cluster"
 MISC_TOPIC = "razno"  # topic name of unassigned posts
 APPROVE_EVENTS = ("click", "purchase", "signup")
@@ -23,12 +25,16 @@ DISAPPROVE_EVENTS = ("error",)
 
 
 def clustered(t: Tables) -> DataFrame:
-    """(doc_id, text, source, cluster_id): documents ⟕ embeddings labels, −1 = noise."""
+    """(doc_id, text, source, cluster_id): the embedding's label; a document without one
+    belongs to its source (10 + the source's number), or is noise (−1) if it is shorter than
+    ``SHORT`` characters or its source has no number."""
     docs = t.documents.select("doc_id", "text", "source")
     labels = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("label"))
+    number = F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int")
+    by_source = F.when(F.length("text") >= SHORT, number + FIRST_SOURCE_CLUSTER)
     return (docs.join(labels, "doc_id", "left")
             .select("doc_id", "text", "source",
-                    F.coalesce("label", F.lit(NOISE)).cast("int").alias("cluster_id")))
+                    F.coalesce("label", by_source, F.lit(NOISE)).cast("int").alias("cluster_id")))
 
 
 def topic_corpus(t: Tables) -> DataFrame:

@@ -8,8 +8,10 @@ line bad.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
@@ -92,20 +94,73 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def write_json_document(df: DataFrame, path: str, key_col: str | None = None) -> None:
-    """One pretty JSON document (array, or object keyed by ``key_col``).
+MANIFEST = "_manifest.json"
 
-    Only for small summaries (one row per cluster); the per-row JSON stays
-    the primary output.
+
+def write_json_document(df: DataFrame, path: str, key_col: str | None = None, order: Sequence[str] = ()) -> None:
+    """One pretty JSON document (array, or object keyed by ``key_col``), written in parallel.
+
+    Every part is a document of its own, ``[`` or ``{``, its rows, ``]`` or ``}``, so a
+    multi-line reader takes the folder as it is; the parts' names in the manifest are in the
+    order of the rows, and :func:`document_lines` strings them together to
+    one document. With ``order`` the rows are range-partitioned and sorted, else
+    they keep the order they have. A task streams its rows; nothing is gathered.
     """
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     rest = [c for c in df.columns if c != key_col]
-    if key_col is None:
-        doc = df.agg(F.to_json(F.collect_list(F.struct(*df.columns)), {"pretty": "true"}).alias("value"))
-    else:
-        entries = F.collect_list(F.struct(F.col(key_col).cast("string").alias("k"),
-                                          F.struct(*rest).alias("v")))
-        doc = df.agg(F.to_json(F.map_from_entries(entries), {"pretty": "true"}).alias("value"))
-    doc.coalesce(1).write.mode("overwrite").text(path)
+    body = F.to_json(F.struct(*rest), {"pretty": "true"})
+    key = None if key_col is None else F.to_json(F.array(F.col(key_col).cast("string")))
+    # the key's JSON text is that of a one-element array without its brackets
+    entry = body if key is None else F.concat(key.substr(F.lit(2), F.length(key) - 2), F.lit(" : "), body)
+    keyed = key_col is not None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = lambda rows: pa.RecordBatch.from_arrays([pa.array(rows, pa.string())], names=["value"])
+        yield lines(["{" if keyed else "["])
+        first = True
+        for batch in batches:
+            rows = batch.column(0).to_pylist()
+            if rows:
+                yield lines([r if first and k == 0 else "," + r for k, r in enumerate(rows)])
+                first = False
+        yield lines(["}" if keyed else "]"])
+
+    df.select(entry.alias("value")).mapInArrow(run, "value string").write.mode("overwrite").text(path)
+    fs, folder = _folder(df.sparkSession, path)
+    names = sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    out = fs.create(df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, MANIFEST), True)
+    try:
+        out.write(bytearray(json.dumps({"keyed": keyed, "parts": names}).encode()))
+    finally:
+        out.close()
+
+
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop file system and path of a folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def document_lines(spark: SparkSession, path: str) -> Iterator[str]:
+    """The lines of the one document that the parts of a folder make, part after part."""
+    fs, folder = _folder(spark, path)
+    jvm = spark.sparkContext._jvm
+    source = fs.open(jvm.org.apache.hadoop.fs.Path(folder, MANIFEST))
+    try:
+        manifest = json.loads(jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+    finally:
+        source.close()
+    yield "{" if manifest["keyed"] else "["
+    first = True
+    for name in manifest["parts"]:
+        # one part at a time, without its brackets
+        part = spark.read.text(f"{path.rstrip('/')}/{name}", wholetext=True).first()   # none: a task without rows
+        lines = part["value"].rstrip("\n").split("\n")[1:-1] if part else []
+        for k, line in enumerate(lines):
+            yield line if first or k else "," + line
+        first = first and not lines
+    yield "}" if manifest["keyed"] else "]"
 
 
 def set_json_field(line: str | Column, key: str, value_json: Column) -> Column:

@@ -38,7 +38,8 @@ def ingest_posts(raw: DataFrame, path: str, source: str = "archive", order_col:
                       S.parse_int("disapprove").alias("disapprove_count"),
                       F.col("timestamp").cast("string").alias("timestamp_raw"),
                       F.lit(source).alias("source"), F.col(order_col).alias("_ord"))
-    rows = R.global_row_number(rows, [F.col("_ord")], "_pos")
+    # only the order column is ranked; the texts meet their numbers in one join
+    rows = R.late_row_number(rows, ["_ord"], [F.col("_ord")], "_pos", [F.xxhash64("text", "timestamp_raw"), F.col("text")])
     out = rows.select((F.col("_pos") + F.lit(base)).cast("bigint").alias("id"), *POSTS_COLUMNS[1:])
     out.write.mode("append").parquet(path)
     return spark.read.parquet(path)
