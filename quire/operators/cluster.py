@@ -16,10 +16,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -167,15 +170,15 @@ class DensityTree:
 
 def density_tree(df: DataFrame, eps: float | None = None, min_samples: int = 3, quantile: float = 0.9,
                  id_col: str = "id", vec_col: str = "v", n_pivots: int = 32, block_size: int = 512, seed: int = 42,
-                 forest: bool = True) -> DensityTree:
+                 forest: bool = True, slack: float = 0.0) -> DensityTree:
     """The tree that answers all cuts up to ``eps``, or up to a ``quantile`` of the core distances
-    (an actual core distance, from a sketch of relative rank error 1e-5)."""
+    (an actual core distance, from a sketch of relative rank error 1e-5, plus ``slack``)."""
     vectors = NB.distinct_vectors(df, id_col, vec_col)
     index = NB.ball_index(vectors.reps, id_col, vec_col, n_pivots, block_size, seed)
     core = cut_lineage(core_distances(df, min_samples, id_col, vec_col, index=index, n_pivots=n_pivots, block_size=block_size, seed=seed))
     if eps is None:
         eps = core.agg(F.percentile_approx("core", quantile, 100_000)).first()[0]
-        eps = 0.0 if eps is None else float(eps)
+        eps = 0.0 if eps is None else float(eps) + slack
     edges = NB.range_forest(index, core, eps)
     if vectors.copies is not None:   # equal vectors are at distance 0: core distance apart
         of = core.select(F.col(id_col).alias("rep"), F.col("core").alias("w"))
@@ -266,6 +269,38 @@ def pca_reduce(df: DataFrame, k: int, id_col: str = "id", vec_col: str = "v") ->
     return out, [float(v) for v in model.explainedVariance]
 
 
+def gaussian_entry(seed: int, i: int, j: int) -> float:
+    """Standard normal number of a place in a matrix: Box-Muller on two 52-bit pieces of a SHA-256."""
+    h = hashlib.sha256(f"{seed}|{i}|{j}".encode()).hexdigest()
+    u, w = (int(h[:13], 16) + 1) / 2.0 ** 52, int(h[13:26], 16) / 2.0 ** 52
+    return math.sqrt(-2.0 * math.log(u)) * math.cos(2.0 * math.pi * w)
+
+
+def gaussian_project(df: DataFrame, k: int, seed: int = 42, id_col: str = "id", vec_col: str = "v") -> DataFrame:
+    """M6 for wide vectors: (id, reduced), v·R/√k with a Gaussian matrix R (d × k).
+
+    An entry of R is a function of the seed and its place, so every task makes the rows that its
+    vectors need and nothing is fitted, broadcast or shuffled. A squared distance is kept within
+    1 ± ε with probability 1 − 2·exp(−k(ε²/4 − ε³/6)). Null vectors give null; vectors may differ in length."""
+    id_type = df.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        rows: list[np.ndarray] = []
+        for batch in batches:
+            out = []
+            for v in batch.column(1):
+                if not v.is_valid:
+                    out.append(None)
+                    continue
+                x = v.values.to_numpy(zero_copy_only=False).astype(np.float64)
+                while len(rows) < len(x):
+                    rows.append(np.array([gaussian_entry(seed, len(rows), j) for j in range(k)]))
+                out.append((x @ np.vstack(rows[:len(x)]) if len(x) else np.zeros(k)) / math.sqrt(k))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float64()))], names=[id_col, "reduced"])
+
+    return df.select(id_col, vec_col).mapInArrow(run, f"`{id_col}` {id_type}, reduced array<double>")
+
+
 # groups that one search task compares
 GROUP_ROWS = 1024
 

@@ -414,6 +414,18 @@ def apply_manual_topics(spark, sf):
     out = TP.apply_manual_topics(FX.topic_corpus(t), TP.topic_lookup(FX.topic_lines(t)))
     return out.select("doc_id", "cluster", "cluster_topic", "topic_source")
 
+@register("manual_topic_counters", f"""
+WITH RECURSIVE {SQL_TOPIC_FOLD.strip()}
+SELECT CASE WHEN c.cluster = -999 THEN 'razno' WHEN l.manual_topic IS NOT NULL THEN 'manual' ELSE 'untouched' END AS topic_source,
+       CAST(count(*) AS BIGINT) AS n
+FROM topic_corpus c LEFT JOIN lookup l ON c.cluster = l.cluster GROUP BY 1
+""", ("topic_lines", "topic_corpus"))
+def manual_topic_counters(spark, sf):
+    """A2: how many posts got the default topic, a manual one, or kept their own."""
+    t = Tables(spark, sf)
+    out = TP.apply_manual_topics(FX.topic_corpus(t).drop("text"), TP.topic_lookup(FX.topic_lines(t)))
+    return R.count_by(out, "topic_source", "n")
+
 
 @register("split_assigned", """
 SELECT doc_id, CASE WHEN cluster = -999 OR lower(cluster_topic) = 'razno' THEN 'unassigned' ELSE 'clustered' END
@@ -511,24 +523,24 @@ PROPS_SCHEMA = StructType([StructField("k", LongType(), True)])
 
 def _jsonl_lines(t: Tables):
     """Lines of a mixed log: event props (JSON) and conversation text lines (prose)."""
-    ev = t.events.select(F.lit("events").alias("src"), F.col("event_id").alias("id"),
+    ev = t.events.select(F.lit("events").alias("src"), F.col("event_id").alias("id"), F.lit(0).cast("bigint").alias("turn"),
                          F.lit(1).cast("bigint").alias("line_no"), F.col("props").alias("line"))
-    conv = t.conversations.select(F.lit("conversations").alias("src"),
-                                  (F.col("conv_id") * 100 + F.col("turn")).alias("id"), "text")
-    conv = TF.lines(conv, "text", ("src", "id"))
+    conv = t.conversations.select(F.lit("conversations").alias("src"), F.col("conv_id").alias("id"),
+                                  F.col("turn").cast("bigint").alias("turn"), "text")
+    conv = TF.lines(conv, "text", ("src", "id", "turn"))
     return ev.unionByName(conv)
 
 
 @register("scan_jsonl_tolerant", f"""
 WITH lines AS (
-  SELECT 'events' AS src, event_id AS id, CAST(1 AS BIGINT) AS line_no, props AS line FROM events
+  SELECT 'events' AS src, event_id AS id, CAST(0 AS BIGINT) AS turn, CAST(1 AS BIGINT) AS line_no, props AS line FROM events
   UNION ALL
-  SELECT 'conversations', conv_id * 100 + turn, CAST(i AS BIGINT), {Q.strip('parts[i]')}
+  SELECT 'conversations', conv_id, CAST(turn AS BIGINT), CAST(i AS BIGINT), {Q.strip('parts[i]')}
   FROM (SELECT conv_id, turn, regexp_split_to_array(text, '\\r\\n|\\r|\\n') AS parts FROM conversations),
        LATERAL (SELECT unnest(generate_series(1, len(parts))) AS i)
   WHERE {Q.strip('parts[i]')} <> ''),
-s AS (SELECT src, id, line_no, {Q.strip('line')} AS l FROM lines)
-SELECT src, id, line_no,
+s AS (SELECT src, id, turn, line_no, {Q.strip('line')} AS l FROM lines)
+SELECT src, id, turn, line_no,
        CASE WHEN NOT coalesce(json_valid(l), false) OR NOT regexp_matches(l, '^[{{][\\s\\S]*[}}]$') THEN 'bad_json'
             WHEN NOT list_contains(json_keys(l), 'k') THEN 'missing_key' ELSE 'ok' END AS status,
        CASE WHEN coalesce(json_valid(l), false) AND regexp_matches(l, '^[{{][\\s\\S]*[}}]$')
@@ -538,7 +550,7 @@ FROM s WHERE l <> ''
 def scan_jsonl_tolerant(spark, sf):
     """Tolerant JSONL parse with per-line status (ok / bad_json / missing_key)."""
     lines = _jsonl_lines(Tables(spark, sf))
-    return J.parse_json_lines(lines, PROPS_SCHEMA, "line", required=("k",), keys=("src", "id", "line_no"))
+    return J.parse_json_lines(lines, PROPS_SCHEMA, "line", required=("k",), keys=("src", "id", "turn", "line_no"))
 
 
 @register("scan_jsonl_strict", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")

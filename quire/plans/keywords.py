@@ -10,6 +10,7 @@ from quire.operators import relational as R
 from quire.operators import topics as TP
 from quire.plans import sqlfrag as Q
 from quire.plans.registry import register
+from quire.session import scratch_path
 from quire.sources import fixtures as FX
 from quire.sources.tables import Tables
 
@@ -202,3 +203,36 @@ def cluster_preview_report(spark, sf):
     g = first.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("rn", entry.alias("e")))).alias("es"))
     head = F.concat(F.lit(BANNER + "\nCLUSTER ID: "), F.col("cluster").cast("string"), F.lit("\n" + BANNER + "\n"))
     return g.select("cluster", F.concat(head, F.array_join(F.col("es.e"), ""), F.lit("\n\n")).alias("report"))
+
+
+@register("cluster_samples", f"""
+SELECT cluster_id, CAST(rk AS INTEGER) AS sample_rank, doc_id, text FROM (
+  SELECT cluster_id, doc_id, text, row_number() OVER (PARTITION BY cluster_id ORDER BY {Q.sample_key('doc_id')}, doc_id) AS rk
+  FROM clustered WHERE cluster_id <> -1) WHERE rk <= 5
+""", ("clustered",))
+def cluster_samples(spark, sf):
+    """M4: the texts of 5 seeded samples per cluster; ids are ranked alone, texts joined to the few that are left."""
+    t = Tables(spark, sf)
+    c = FX.clustered(t).filter(F.col("cluster_id") != FX.NOISE).select("cluster_id", "doc_id")
+    few = R.sample_per_group(c, "cluster_id", "doc_id", 5)
+    return few.join(t.documents.select("doc_id", "text"), "doc_id").select("cluster_id", "sample_rank", "doc_id", "text")
+
+
+@register("cluster_report_file", f"""
+WITH e AS (
+  SELECT cluster, rn, chr(10) || '[' || CAST(rn AS VARCHAR) || ']' || chr(10)
+         || CASE WHEN {Q.strip('cluster_topic')} <> '' THEN 'Topic: ' || {Q.strip('cluster_topic')} || chr(10) ELSE '' END
+         || {Q.strip('text')} || chr(10) AS entry
+  FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY doc_id) AS rn FROM topic_corpus) WHERE rn <= 10),
+r AS (SELECT cluster, '{BANNER}' || chr(10) || 'CLUSTER ID: ' || CAST(cluster AS VARCHAR) || chr(10) || '{BANNER}' || chr(10)
+             || string_agg(entry, '' ORDER BY rn) || chr(10) || chr(10) AS report FROM e GROUP BY cluster),
+l AS (SELECT unnest(regexp_split_to_array(report, '\\r\\n|\\r|\\n')[:-2]) AS line FROM r)
+SELECT line, CAST(count(*) AS BIGINT) AS n FROM l GROUP BY line
+""", ("topic_corpus",))
+def cluster_report_file(spark, sf):
+    """S13 as a file: the preview blocks of all clusters, in the order of their ids, written as text and
+    read back line by line."""
+    path = scratch_path(spark, "report")
+    blocks = cluster_preview_report(spark, sf)
+    blocks.repartitionByRange("cluster").sortWithinPartitions("cluster").select(F.expr("left(report, length(report) - 1)").alias("value")).write.text(path)
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))

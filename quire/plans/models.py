@@ -66,11 +66,36 @@ def embed_hash(spark, sf):
     return x.filter(F.col("value") != 0).select("doc_id", "pos", F.round("value", 6).alias("value"))
 
 
-@register("mmr_keywords")
+MMR = dict(first_docs=30, top_n=15, diversity=0.5)
+
+
+def mmr_sql(first_docs: int, top_n: int, diversity: float) -> str:
+    """Greedy choice a step: of each cluster the free term of best score, then every term's nearest chosen one."""
+    return f"""
+WITH RECURSIVE f AS (SELECT * FROM (SELECT cluster_id AS c, text,
+         row_number() OVER (PARTITION BY cluster_id ORDER BY doc_id) AS rn FROM clustered WHERE cluster_id <> -1) WHERE rn <= {first_docs}),
+t AS (SELECT c, rn, term, count(*) AS tf FROM (SELECT c, rn, unnest({TOK_SQL.format(x='text')}) AS term FROM f) GROUP BY ALL),
+grid AS (SELECT c, term, rn FROM (SELECT DISTINCT c, term FROM t), (SELECT unnest(range(1, {first_docs} + 1)) AS rn)),
+x AS (SELECT c, term, list(CAST(coalesce(tf, 0) AS DOUBLE) ORDER BY rn) AS v FROM grid LEFT JOIN t USING (c, term, rn) GROUP BY c, term),
+whole AS (SELECT c, list(s ORDER BY rn) AS w FROM (SELECT c, rn, CAST(sum(coalesce(tf, 0)) AS DOUBLE) AS s FROM grid LEFT JOIN t USING (c, term, rn) GROUP BY c, rn) GROUP BY c),
+st(step, c, term, v, rel, near, rank) AS (
+  SELECT 0, c, term, v, list_cosine_similarity(v, w), CAST(NULL AS DOUBLE), CAST(NULL AS INTEGER) FROM x JOIN whole USING (c)
+  UNION ALL
+  SELECT st.step + 1, st.c, st.term, st.v, st.rel, greatest(coalesce(st.near, -1), list_cosine_similarity(st.v, b.v)),
+         CASE WHEN st.term = b.term THEN st.step + 1 ELSE st.rank END
+  FROM st JOIN (SELECT c, term, v FROM (SELECT c, term, v, row_number() OVER (PARTITION BY c ORDER BY
+                  round(CASE WHEN near IS NULL THEN rel ELSE {1 - diversity} * rel - {diversity} * near END, 9) DESC, term) AS k
+                FROM st WHERE rank IS NULL) WHERE k = 1) b ON st.c = b.c
+  WHERE st.step < {top_n})
+SELECT c AS cluster_id, rank, term FROM st WHERE step = (SELECT max(s.step) FROM st s WHERE s.c = st.c) AND rank IS NOT NULL
+"""
+
+
+@register("mmr_keywords", mmr_sql(**MMR), ("clustered",))
 def mmr_keywords(spark, sf):
     """15 diverse keywords per cluster (MMR, diversity 0.5) from its first 30 posts."""
     c = FX.clustered(Tables(spark, sf)).filter(F.col("cluster_id") != FX.NOISE)
-    return M.mmr_keywords(c, "cluster_id", "doc_id", "text", first_docs=30, top_n=15, diversity=0.5)
+    return M.mmr_keywords(c, "cluster_id", "doc_id", "text", **MMR)
 
 
 def _inspect_kw(t: Tables):
@@ -238,3 +263,47 @@ def meta_cluster_named(spark, sf):
     bk = bk.withColumn("crank", F.row_number().over(Window.partitionBy("meta_id").orderBy("base_id")))
     return bk.join(meta_names(bk), "meta_id").select(F.col("base_id").alias("cluster_id"), "meta_id", "meta_topic")
 
+# ------------------------------------------------- text to clusters --
+
+TEXT_CLUSTERS = dict(dims=64, reduced=16, seed=42, quantile=0.5, min_cluster_size=10, min_samples=3)
+
+
+def text_clusters_sql(dims: int, reduced: int, seed: int, quantile: float, min_cluster_size: int, min_samples: int) -> str:
+    return f"""
+WITH RECURSIVE t AS (SELECT doc_id, unnest({TOK_SQL.format(x='text')}) AS term FROM documents),
+b AS (SELECT doc_id, CAST('0x' || substr(sha256(term), 1, 8) AS BIGINT) % {dims} AS pos,
+             sum(CASE WHEN CAST('0x' || substr(sha256(term), 9, 1) AS BIGINT) % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0 END) AS x
+      FROM t GROUP BY doc_id, pos),
+e0 AS (SELECT doc_id AS id, list(coalesce(x, 0.0) ORDER BY pos) AS v
+       FROM (SELECT doc_id, unnest(range({dims})) AS pos FROM documents) LEFT JOIN b USING (doc_id, pos) GROUP BY doc_id),
+e AS (SELECT id, CASE WHEN list_sum(list_transform(v, lambda w: w * w)) > 0
+                      THEN list_transform(v, lambda z: z / sqrt(list_sum(list_transform(v, lambda w: w * w)))) ELSE v END AS v FROM e0),
+places AS (SELECT i, j, sha256('{seed}|' || i || '|' || j) AS h FROM (SELECT unnest(range({dims})) AS i), (SELECT unnest(range({reduced})) AS j)),
+r AS (SELECT i, j, sqrt(-2 * ln((CAST('0x' || substr(h, 1, 13) AS BIGINT) + 1) / 2.0::DOUBLE ^ 52))
+                   * cos(2 * pi() * (CAST('0x' || substr(h, 14, 13) AS BIGINT) / 2.0::DOUBLE ^ 52)) AS z FROM places),
+cells AS (SELECT id, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS i FROM e),
+red AS (SELECT id, list(y ORDER BY j) AS v FROM (SELECT id, j, sum(x * z) / sqrt({reduced}) AS y FROM cells JOIN r USING (i) GROUP BY id, j) GROUP BY id),
+p AS (SELECT a.id AS i, b.id AS j, list_distance(a.v, b.v) AS d FROM red a, red b WHERE a.id <> b.id),
+core AS (SELECT i, d AS core FROM (SELECT i, d, row_number() OVER (PARTITION BY i ORDER BY d, j) AS rn FROM p) WHERE rn = {max(min_samples - 1, 1)}),
+q AS (SELECT quantile_disc(core, {quantile}) AS eps FROM core),
+cp AS (SELECT i FROM core, q WHERE core <= eps + 1e-9),
+edges AS (SELECT p.i, p.j FROM p JOIN cp ci ON p.i = ci.i JOIN cp cj ON p.j = cj.i, q WHERE p.d <= eps + 1e-9),
+reach(node, lab) AS (SELECT i, i FROM cp UNION SELECT e.j, r.lab FROM reach r JOIN edges e ON r.node = e.i),
+comp AS (SELECT node, min(lab) AS comp FROM reach GROUP BY node),
+sizes AS (SELECT comp, count(*) AS n FROM comp GROUP BY comp HAVING count(*) >= {min_cluster_size}),
+ren AS (SELECT comp, row_number() OVER (ORDER BY n DESC, comp) - 1 AS cid FROM sizes),
+labels AS (SELECT e.id, e.v, CAST(coalesce(ren.cid, -1) AS INTEGER) AS cluster_id
+           FROM e LEFT JOIN comp ON e.id = comp.node LEFT JOIN ren ON comp.comp = ren.comp)
+SELECT l.id AS doc_id, CAST(l.cluster_id AS INTEGER) AS density_id FROM labels l
+"""
+
+
+@register("text_clusters", text_clusters_sql(**TEXT_CLUSTERS))
+def text_clusters(spark, sf):
+    """Text to clusters as one job: hash embedding, Gaussian projection, density clusters with a radius by quantile."""
+    o = TEXT_CLUSTERS
+    d = Tables(spark, sf).documents
+    e = cut_lineage(M.hash_embed(d, "doc_id", "text", o["dims"]).withColumnRenamed("embedding", "v"))
+    low = cut_lineage(C.gaussian_project(e, o["reduced"], o["seed"], "doc_id", "v").withColumnRenamed("reduced", "v"))
+    tree = C.density_tree(low, None, o["min_samples"], o["quantile"], "doc_id", "v", forest=False, slack=1e-9)
+    return C.flat_cut(tree, tree.eps, o["min_cluster_size"], "doc_id").select("doc_id", F.col("cluster_id").alias("density_id"))

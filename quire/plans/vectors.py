@@ -257,6 +257,24 @@ def pca_reduce(spark, sf):
     return out
 
 
+PROJECT_K, PROJECT_SEED = 16, 42
+
+
+@register("gaussian_project", f"""
+WITH {RAW_SQL},
+places AS (SELECT i, j, sha256('{PROJECT_SEED}|' || i || '|' || j) AS h
+           FROM (SELECT unnest(range((SELECT max(len(v)) FROM raw))) AS i), (SELECT unnest(range({PROJECT_K})) AS j)),
+r AS (SELECT i, j, sqrt(-2 * ln((CAST('0x' || substr(h, 1, 13) AS BIGINT) + 1) / 2.0::DOUBLE ^ 52))
+                   * cos(2 * pi() * (CAST('0x' || substr(h, 14, 13) AS BIGINT) / 2.0::DOUBLE ^ 52)) AS z FROM places),
+cells AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS i FROM raw)
+SELECT vec_id, CAST(j AS INTEGER) AS pos, round(sum(x * z) / sqrt({PROJECT_K}), 6) AS value FROM cells JOIN r USING (i) GROUP BY vec_id, j
+""")
+def gaussian_project(spark, sf):
+    """M6: seeded Gaussian projection to 16 dimensions, its matrix made from hashes."""
+    p = C.gaussian_project(raw(Tables(spark, sf)), PROJECT_K, PROJECT_SEED, "vec_id", "v")
+    return p.select("vec_id", F.posexplode("reduced").alias("pos", "value")).select("vec_id", "pos", F.round("value", 6).alias("value"))
+
+
 #: One merge of the two groups of least mean distance a step; ties go to the smaller ids.
 META_CLUSTER_SQL = f"""
 WITH RECURSIVE vbase AS (

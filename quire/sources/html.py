@@ -46,18 +46,22 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 @dataclass
 class _Open:
     name: str
+    record: int
     level: int
     parts: list = field(default_factory=list)
 
 
 class _RecordParser(HTMLParser):
-    """Keeps a stack of open elements inside the current record; an end tag
-    closes everything above its matching start tag (implicit closes)."""
+    """Keeps a stack of the open elements from the outermost open record down, and which of
+    them are records: a record inside a record is one of its own, and what
+    stands in it belongs to both. An end tag closes everything above its
+    matching start tag (implicit closes); one without a start tag is passed over."""
 
     def __init__(self, record: FieldSpec, fields: dict[str, FieldSpec]):
         super().__init__(convert_charrefs=True)
         self.record, self.fields = record, fields
-        self.stack: list[str] | None = None   # open tags inside the record; None = outside
+        self.stack: list[str] = []                # open tags; empty outside records
+        self.inside: list[tuple[int, int]] = []   # (number, level) of the open records
         self.raw = 0
         self.open: list[_Open] = []
         self.records: list[dict[str, list[str]]] = []
@@ -67,10 +71,11 @@ class _RecordParser(HTMLParser):
         keep = []
         for o in self.open:
             if o.level >= level:
-                self.records[-1][o.name].append("".join(o.parts))
+                self.records[o.record][o.name].append("".join(o.parts))
             else:
                 keep.append(o)
         self.open = keep
+        self.inside = [(n, at) for n, at in self.inside if at < level]
         del self.stack[level:]
 
     def handle_starttag(self, tag, attrs):
@@ -78,19 +83,22 @@ class _RecordParser(HTMLParser):
             self.raw += 1
             return
         a = dict(attrs)
-        if self.stack is None:
-            if self.record.matches(tag, a):
-                self.stack = []
-                self.records.append({n: [] for n in self.fields})
+        starts = self.record.matches(tag, a)
+        if not self.inside and not starts or tag in _VOID:
             return
-        if tag in _VOID:
-            return
-        if tag in _AUTO_CLOSE and tag in self.stack:
-            self._pop_to(len(self.stack) - 1 - self.stack[::-1].index(tag))
+        if tag in _AUTO_CLOSE and self.inside:
+            # within the innermost record only
+            floor = self.inside[-1][1] + 1
+            mine = self.stack[floor:]
+            if tag in mine:
+                self._pop_to(floor + len(mine) - 1 - mine[::-1].index(tag))
         self.stack.append(tag)
         for name, spec in self.fields.items():
-            if spec.matches(tag, a):
-                self.open.append(_Open(name, len(self.stack) - 1))
+            if self.inside and spec.matches(tag, a):
+                self.open += [_Open(name, n, len(self.stack) - 1) for n, _ in self.inside]
+        if starts:
+            self.inside.append((len(self.records), len(self.stack) - 1))
+            self.records.append({n: [] for n in self.fields})
 
     def handle_startendtag(self, tag, attrs):
         pass  # void elements (<br/>, <img/>) carry no text
@@ -98,14 +106,8 @@ class _RecordParser(HTMLParser):
     def handle_endtag(self, tag):
         if tag in _RAW_TEXT:
             self.raw = max(self.raw - 1, 0)
-            return
-        if self.stack is None:
-            return
-        if tag in self.stack:
+        elif tag in self.stack:
             self._pop_to(len(self.stack) - 1 - self.stack[::-1].index(tag))
-        elif tag == self.record.tag:
-            self._pop_to(0)
-            self.stack = None
 
     def handle_data(self, data):
         if self.raw or not self.open:
@@ -117,9 +119,7 @@ class _RecordParser(HTMLParser):
 
     def close(self):
         super().close()
-        if self.stack is not None:
-            self._pop_to(0)
-            self.stack = None
+        self._pop_to(0)
 
 
 def parse_records(html: str, record: FieldSpec, fields: dict[str, FieldSpec]) -> list[dict[str, list[str]]]:

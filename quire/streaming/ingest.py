@@ -2,6 +2,8 @@
 
 * ``ingest_stream`` — file source → ``foreachBatch``: first-wins dedupe of
   the micro-batch, anti-join against hashes already in the sink, append.
+  The sink is partitioned by the first characters of the hash, and a batch reads
+  only the partitions that its own hashes fall into, of them only the hash column.
   The anti-join makes a replayed batch (after a failure) a no-op, and the
   checkpoint makes a restart resume where it stopped.
 * ``dedupe_stream`` — stateful ``dropDuplicates`` (state in RocksDB), or
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quire.operators import relational as R
-from quire.session import ensure_checkpoint_dir
+from quire.session import cut_lineage, ensure_checkpoint_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -28,24 +30,33 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+BUCKET = "hash_prefix"
+
+
 def ingest_stream(spark: SparkSession, source_dir: str, glob: str, schema: StructType, sink: str, checkpoint: str,
-                  text_col: str = "text", order_col: str = "doc_id", max_files: int = 1000) -> DataFrame:
+                  text_col: str = "text", order_col: str = "doc_id", max_files: int = 1000, prefix: int = 2) -> DataFrame:
     """T1/T3/T4 (+W2): append new, unseen posts to a parquet sink; returns the sink.
-    Each micro-batch reads the sink's hashes once, so batches hold many files."""
+
+    Files are taken in the order of their time, ``max_files`` a batch. The sink has 16**``prefix``
+    partitions, of which a batch reads those that it touches."""
     ensure_checkpoint_dir(spark)
     src = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
            .option("maxFilesPerTrigger", max_files).parquet(source_dir))
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        b = R.dedupe_first(R.with_content_hash(batch, text_col), "hash", order_col)
+        b = cut_lineage(R.dedupe_first(R.with_content_hash(batch, text_col), "hash", order_col)
+                        .withColumn(BUCKET, F.concat(F.lit("x"), F.substring("hash", 1, prefix))))
         if _path_exists(spark, sink):
-            b = b.join(spark.read.parquet(sink).select("hash"), "hash", "left_anti")
-        b.write.mode("append").parquet(sink)
+            touched = [r[0] for r in b.select(BUCKET).distinct().collect()]   # at most 16**prefix
+            seen = spark.read.parquet(sink).filter(F.col(BUCKET).isin(touched)).select(BUCKET, "hash")
+            b = b.join(seen, [BUCKET, "hash"], "left_anti")
+        # one file a partition and task group, not one for every task
+        b.repartition(BUCKET).write.mode("append").partitionBy(BUCKET).parquet(sink)
 
     q = (src.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).drop(BUCKET)
 
 
 def dedupe_stream(spark: SparkSession, source_dir: str, glob: str, schema: StructType, keys: list[str],

@@ -188,3 +188,16 @@ def test_linkage_by_rounds_and_in_one_task_with_ties_and_zero_vectors(spark, mon
     if rows > len(x):
         assert [r["meta_id"] for r in C.average_linkage(vec_df(spark, x[:1]), 3).collect()] == [0]
         assert C.average_linkage(vec_df(spark, x).limit(0), 3).collect() == []
+
+
+def test_gaussian_projection_keeps_distances(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(40, 300))
+    df = vec_df(spark, x).unionByName(spark.createDataFrame([(900, None)], "id long, v array<double>"))
+    got = {r["id"]: r["reduced"] for r in C.gaussian_project(df, 256).collect()}
+    assert got.pop(900) is None
+    y = np.array([got[i] for i in range(40)])
+    upper = np.triu_indices(40, 1)
+    ratio = (distances(y)[upper] / distances(x)[upper]) ** 2
+    # k = 256, eps = 0.5: at most 2 exp(-256 (0.125 - 0.0208)) of the pairs, about 5e-12
+    assert (np.abs(ratio - 1) < 0.5).all()

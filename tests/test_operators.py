@@ -55,6 +55,13 @@ def test_html_extract_cases():
     assert recs == [{"title": ["T & x"], "p": ["a", "b c", "de"]}, {"title": [], "p": ["z"]}]
 
 
+def test_html_record_inside_a_record():
+    h = ('<div class="post"><p>a</p><div class="post"><p>b<p>c</div><p>d</div></i><p>out</p>'
+         '<div class="post"><p>e<div>f</div></section>g')
+    recs = H.parse_records(h, H.FieldSpec("div", "post"), {"p": H.FieldSpec("p")})
+    assert recs == [{"p": ["a", "b", "c", "d"]}, {"p": ["b", "c"]}, {"p": ["efg"]}]
+
+
 def test_html_class_and_id_prefix():
     h = ('<div class="post"><div class="post-text"> x <b>y</b> </div>'
          '<div class="post-value" id="approve-count-7">12</div>'
@@ -174,14 +181,12 @@ def test_generate_chunked_stops(spark):
 
 
 def test_mmr_select_properties():
-    import pandas as pd
-
-    rng = np.random.default_rng(0)
-    cands = pd.DataFrame({"term": [f"t{i}" for i in range(30)], "vec": list(rng.normal(size=(30, 8))),
-                          "rel": rng.uniform(size=30)})
-    out = M.mmr_select(cands, 10, 0.5)
-    assert len(out) == 10 and out["term"].is_unique
-    assert out.iloc[0]["term"] == cands.loc[cands["rel"].idxmax(), "term"]
+    # two terms of the same posts are alike: diversity takes the other one later
+    x = np.array([[4, 4, 0, 0], [4, 4, 0, 0], [0, 0, 3, 0], [0, 0, 0, 1]], float)
+    terms = np.array(["b", "a", "c", "d"])
+    assert [terms[i] for i in M.mmr_select(x, terms, 4, 0.0)] == ["a", "b", "c", "d"]
+    assert [terms[i] for i in M.mmr_select(x, terms, 3, 0.5)] == ["a", "c", "d"]
+    assert M.mmr_select(x[:0], terms[:0], 3, 0.5) == [] and len(M.mmr_select(x, terms, 9, 0.5)) == 4
 
 
 # ------------------------------------------------------------ vectors --

@@ -136,3 +136,17 @@ def test_scan_partitions_keep_pushdown_and_rows(spark):
         assert dealt.rdd.getNumPartitions() == 5 and sorted(dealt.collect()) == sorted(plain.collect())
     finally:
         spark.conf.unset(SCAN_PARTITIONS)
+
+
+def test_scratch_folders_can_be_dropped(tmp_path):
+    """In a process of its own, so that no other test's folders go."""
+    import subprocess
+    import sys
+
+    code = (f"from quire.session import drop_scratch, get_spark, scratch_path\n"
+            f"s = get_spark('local[1]', 1, extra={{'spark.checkpoint.dir': {str(tmp_path)!r}}})\n"
+            f"a, b = scratch_path(s, 'a'), scratch_path(s, 'b')\n"
+            f"s.range(3).write.parquet(a)\n"
+            f"assert drop_scratch(s) == 1 and drop_scratch(s) == 0\n")
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+    assert not list(tmp_path.rglob("*.parquet"))
