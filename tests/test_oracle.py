@@ -20,7 +20,8 @@ DEFAULT = ["engagement_by_cluster", "join_engagement", "clean_corpus", "dedupe_f
            "repair_topic_ids", "apply_manual_topics", "training_set", "strip_third_tag", "scan_jsonl_tolerant",
            "scan_text_blocks", "crawl_frontier", "tfidf_inspect", "tfidf_keywords", "cluster_preview_report",
            "multi_assign", "knn_join", "density_cluster", "html_paragraph_counts", "lm_tokenize",
-           "meta_topic_names", "stream_ingest", "ingest_table"]
+           "meta_topic_names", "stream_ingest", "ingest_table", "html_extract", "html_selectors", "mmr_keywords",
+           "meta_cluster", "density_cuts", "gaussian_project", "crawl_to_posts", "cluster_report_file"]
 KEYS = sorted(E.oracle_sql()) if os.environ.get("QUIRE_ORACLE_ALL") else DEFAULT
 
 
