@@ -38,9 +38,9 @@ from pyspark.sql import DataFrame
 from quire.llm.common import only, row_slices
 
 #: Words, and bytes of words and ids, that a generation of remembered words holds (memory only, never results).
-REMEMBERED, REMEMBERED_BYTES = 150_000, 1 << 24
+REMEMBERED, REMEMBERED_BYTES = 100_000, 1 << 24
 #: Bytes of text whose tokens a task holds at once, and words that are looked up at once.
-OUT_BYTES, WORDS_AT_ONCE = 1 << 21, 1 << 18
+OUT_BYTES, WORDS_AT_ONCE = 1 << 20, 1 << 16
 #: Longest word, in bytes, whose tree is worked on beside others.
 MOST_SIDE_BY_SIDE = 64
 

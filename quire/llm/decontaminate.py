@@ -187,7 +187,7 @@ def sketch(table: DataFrame, weighty: np.ndarray, idf: np.ndarray, omega: np.nda
         weighty, idf, omega = sent.value
         part, count = np.zeros(omega.shape, np.float32), 0
         met = np.zeros(len(idf), bool)
-        square = np.zeros((len(idf), len(idf))) if len(idf) <= SPACE * HEAVY else None   # more only for an item longer than a space
+        square = np.zeros((len(idf), len(idf)), np.float32) if len(idf) <= SPACE * HEAVY else None   # more only for an item longer than a space
         for _, words, borders in lists(batches):
             first, _, _, term = passages(words, borders, weighty, PASSAGE)
             count += len(first)
