@@ -201,3 +201,15 @@ def test_gaussian_projection_keeps_distances(spark):
     ratio = (distances(y)[upper] / distances(x)[upper]) ** 2
     # k = 256, eps = 0.5: at most 2 exp(-256 (0.125 - 0.0208)) of the pairs, about 5e-12
     assert (np.abs(ratio - 1) < 0.5).all()
+
+
+def test_cells_are_joined_by_number(spark):
+    x = clustered(300, 2, 3, 5)
+    index = NB.ball_index(vec_df(spark, x), fan=3, block_size=20)
+    cells = [r for level in index.levels for r in level.select("no", "cell", "parent").collect()]
+    above = {r["no"]: r["cell"] for r in cells} | {NB.ROOT: NB.ROOT_NAME}
+    assert len(index.levels) > 1 and len(above) == len(cells) + 1
+    assert all(r["cell"].rsplit(".", 1)[0] == above[r["parent"]] for r in cells)
+    assert all(above[r["no"]] == r["cell"] for r in index.rows.collect())
+    queries = index.rows.selectExpr("id AS q", "v", "0.1D AS theta")
+    assert dict(NB.candidate_cells(index, queries).dtypes)["no"] == "bigint"
