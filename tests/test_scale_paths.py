@@ -3,6 +3,7 @@
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from quire.operators import models as M
 from quire.operators import relational as R
 from quire.operators import topics as TP
 from quire.operators import trainset as TS
-from quire.session import scratch_path
+from quire.session import apply_runtime_conf, scratch_path
 from quire.sources import jsonl as J
 from quire.sources.tables import SCAN_PARTITIONS, table
 
@@ -150,3 +151,15 @@ def test_scratch_folders_can_be_dropped(tmp_path):
             f"assert drop_scratch(s) == 1 and drop_scratch(s) == 0\n")
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
     assert not list(tmp_path.rglob("*.parquet"))
+
+
+def test_batches_for_python_are_bounded_in_bytes(spark):
+    apply_runtime_conf(spark)
+    wide = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"mb": [batch.nbytes / 2 ** 20], "n": [batch.num_rows]})
+
+    got = wide.mapInArrow(sizes, "mb double, n bigint").collect()
+    assert sum(r["n"] for r in got) == 40 and max(r["mb"] for r in got) <= 10
