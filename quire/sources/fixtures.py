@@ -28,13 +28,14 @@ def clustered(t: Tables) -> DataFrame:
     """(doc_id, text, source, cluster_id): the embedding's label; a document without one
     belongs to its source (10 + the source's number), or is noise (−1) if it is shorter than
     ``SHORT`` characters or its source has no number."""
-    docs = t.documents.select("doc_id", "text", "source")
-    labels = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("label"))
     number = F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int")
     by_source = F.when(F.length("text") >= SHORT, number + FIRST_SOURCE_CLUSTER)
+    # taken from the text before the join, so that a query that needs no text shuffles none
+    docs = t.documents.select("doc_id", "text", "source", by_source.alias("_own"))
+    labels = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("label"))
     return (docs.join(labels, "doc_id", "left")
             .select("doc_id", "text", "source",
-                    F.coalesce("label", by_source, F.lit(NOISE)).cast("int").alias("cluster_id")))
+                    F.coalesce("label", "_own", F.lit(NOISE)).cast("int").alias("cluster_id")))
 
 
 def topic_corpus(t: Tables) -> DataFrame:

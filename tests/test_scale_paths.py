@@ -13,8 +13,9 @@ from quire.operators import relational as R
 from quire.operators import topics as TP
 from quire.operators import trainset as TS
 from quire.session import apply_runtime_conf, scratch_path
+from quire.sources import fixtures as FX
 from quire.sources import jsonl as J
-from quire.sources.tables import SCAN_PARTITIONS, table
+from quire.sources.tables import SCAN_PARTITIONS, Tables, table
 
 from .conftest import SF_SMALL
 
@@ -110,6 +111,33 @@ def test_tfidf_by_tasks_and_by_join_agree(spark):
     assert K.cluster_tfidf(docs.limit(0)).collect() == []
 
 
+def test_pairs_are_counted_only_where_they_can_matter(spark):
+    """Two frequent words fill the vocabulary's first places; a pair of rarer words isn't counted, a pair that ties with the last place is."""
+    docs = spark.createDataFrame([(1, i, "aa bb aa bb" if i < 6 else f"x{i}x y{i}y") for i in range(12)] + [(None, 99, "aa bb")], "cluster_id int, doc_id long, text string")
+    path = scratch_path(spark, "pairs")
+    docs.select(F.col("cluster_id").alias("c"), F.col("doc_id").alias("d"), K.spaced_words(F.col("text")).alias("t")).write.parquet(path)
+    words = spark.read.parquet(path)
+    singles = K._word_counts(words, ()).withColumn("n", F.lit(12)).filter("c is not null")
+    able = K._pair_words(singles, None, 2)
+    assert sorted((r["term"], r["least"]) for r in able.collect()) == [("aa", 12), ("bb", 12)]
+    pairs = K._pair_counts(words, able.select("c", "term", "least").toArrow(), (), 2)
+    assert [tuple(r) for r in pairs.collect()] == [(1, "aa bb", 6, 12)]
+    got = K.cluster_tfidf(docs, min_df=2, max_features=3, top_k=9).collect()
+    assert sorted(r["term"] for r in got) == ["aa", "aa bb", "bb"]
+
+
+def test_texts_stay_out_of_a_join_that_needs_none(spark):
+    plan = FX.clustered(Tables(spark, SF_SMALL)).groupBy("cluster_id").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "length(text" not in plan.split("Join")[0] and "length(text" in plan
+
+
+def test_counts_of_a_task_are_added_up(spark, monkeypatch):
+    monkeypatch.setattr(K, "KEPT_COUNTS", 3)
+    batches = [pa.RecordBatch.from_pydict({"pair": [k % 4, 7], "df": [1, 1], "cf": [2, 3]}) for k in range(20)]
+    out = pa.Table.from_batches(list(K._added_up(iter(batches), ["pair"]))).group_by("pair").aggregate([("df", "sum"), ("cf", "sum")]).sort_by("pair").to_pydict()
+    assert out == {"pair": [0, 1, 2, 3, 7], "df_sum": [5, 5, 5, 5, 20], "cf_sum": [10, 10, 10, 10, 60]}
+
+
 def test_top_per_group_in_two_levels(spark):
     df = spark.range(0, 500).select((F.col("id") % 3).alias("g"), F.col("id"), (F.col("id") * 7 % 11).alias("v"))
     got = sorted((r["g"], r["_r"], r["id"]) for r in K.top_per_group(df, "g", [F.col("v").desc(), F.col("id")], 4, F.col("id"), salts=5).collect())
