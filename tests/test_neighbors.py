@@ -1,6 +1,7 @@
 """kNN, range join, density tree and linkage against brute force."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from quire.operators import cluster as C
@@ -213,3 +214,47 @@ def test_cells_are_joined_by_number(spark):
     assert all(above[r["no"]] == r["cell"] for r in index.rows.collect())
     queries = index.rows.selectExpr("id AS q", "v", "0.1D AS theta")
     assert dict(NB.candidate_cells(index, queries).dtypes)["no"] == "bigint"
+
+
+def test_rows_meet_by_pairs_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(NB, "BLOCK_ROWS", 150)
+    x = np.vstack([clustered(700, 4, 6, 13), np.full((1, 6), np.nan)])
+    df = vec_df(spark, x)
+    index = NB.ball_index(df, fan=6, block_size=40)
+    sizes = {}
+    for r in index.rows.select("id", "block").collect():
+        sizes[r["block"]] = sizes.get(r["block"], 0) + 1
+    assert sum(sizes.values()) == 700 and 4 <= len(sizes) <= 7 and max(sizes.values()) <= 190
+    assert lists(NB.knn(df, 4, n_pivots=6, block_size=40)) == brute_knn(x[:700], 4)
+    some = C.density_cluster(df, 0.35, 8, 4, n_pivots=6, block_size=40).collect()
+    assert {r["id"]: r["cluster_id"] for r in some if r["id"] < 700} == brute_cut(x[:700], 0.35, 8, 4)
+    tree = C.density_tree(df, 0.35, 4, n_pivots=6, block_size=40, forest=False)
+    with pytest.raises(ValueError):
+        C.flat_cut(tree, 0.2, 8)
+
+
+def a_block(x, first=0):
+    return NB._Block(pd.DataFrame({"id": np.arange(len(x)) + first, "v": list(x), "no": np.arange(len(x)) // 9, "core": 0.0}), "id", "v")
+
+
+@pytest.mark.parametrize("pending", [5, 1 << 18])
+def test_two_blocks_in_a_task(monkeypatch, pending):
+    monkeypatch.setattr(NB, "PENDING", pending)
+    monkeypatch.setattr(NB, "QUERY_ROWS", 20)
+    rng = np.random.default_rng(14)
+    x = rng.integers(0, 5, (110, 3)).astype(float)      # many ties
+    a, b = a_block(x[:60]), a_block(x[60:], 60)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    for theta in (np.inf, 1.5, 0.0):
+        got = NB._search(a, b, np.full(60, theta), 4)
+        want = [(i, j + 60, d[i, j + 60]) for i in range(60) for j in np.lexsort((np.arange(50), d[i, 60:]))[:4] if d[i, j + 60] <= theta]
+        assert sorted(zip(got["q"], got["nbr"], got["dist"])) == sorted(want)
+    for q, r, ids in ((a, b, range(110)), (a, a, range(60))):
+        for eps in (0.0, 1.0, 2.0):
+            pairs = [(float(d[i, j]), int(i), int(j)) for i in q.ids for j in r.ids if i < j and d[i, j] <= eps]
+            want = kruskal(pairs, 110)
+            u, v, w = NB._least_edges(q, r, eps, q is r)
+            assert sorted(w) == sorted(c for _, _, c in want)
+            some = list(zip(*(z.tolist() for z in NB._some_edges(q, r, eps, q is r)[:2])))
+            assert len(some) == len(want) == len(kruskal([(0.0, i, j) for i, j in some], 110)) and all(d[i, j] <= eps for i, j in some)
+            assert len(kruskal([(0.0, i, j) for i, j in some] + pairs, 110)) == len(want)
