@@ -81,6 +81,9 @@ class Item:
         self.masks = masks_of(words)
         answer = words[self.n - max(1, math.ceil(self.n / 4)):]
         self.answer, self.answer_masks = len(answer), masks_of(answer)
+        # the masks once more as rows of 64-bit numbers, by ascending word
+        self.keys, size = np.array(sorted(self.masks), np.int64), -(-self.n // 64) * 8
+        self.bits = np.frombuffer(b"".join(self.masks[w].to_bytes(size, "little") for w in self.keys.tolist()), np.uint64).reshape(len(self.keys), -1)
 
     def found(self, around: list[int]) -> tuple[float, bool] | None:
         """Share of the item's words found in order, and whether its answer is there; None if too few."""
@@ -98,6 +101,28 @@ class Item:
         answer = lcs(self.answer_masks, self.answer, around) >= ANSWER * self.answer
         return (share, answer) if share >= COPY or answer else None
 
+    def found_in(self, words: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[tuple[int, tuple[float, bool]]]:
+        """Numbers of the spans of words (first, after the last; both ascending) in which ``found`` finds the item, and what it says;
+        for items of SHORT words or more. Only spans are looked at in which enough of the item's words stand, in whatever order."""
+        many = max(1, (1 << 20) // (self.bits.shape[1] * int((last - first).max(initial=1))))   # spans at once
+        for lo in range(0, len(first), many):
+            a, b = first[lo:lo + many], last[lo:lo + many]
+            new = np.concatenate(([True], a[1:] > b[:-1]))   # spans that overlap are one run of words
+            start, run = a[new], np.cumsum(new) - 1
+            size = b[np.append(np.flatnonzero(new)[1:], len(a)) - 1] - start
+            shift = start - (np.cumsum(size) - size)
+            word = words[np.arange(int(size.sum())) + np.repeat(shift, size)]
+            at = np.minimum(np.searchsorted(self.keys, word), len(self.keys) - 1)
+            there = np.flatnonzero(self.keys[at] == word)
+            held = np.zeros((len(word) + 1, self.bits.shape[1]), np.uint64)
+            held[there] = self.bits[at[there]]
+            borders = np.stack((a - shift[run], b - shift[run]), axis=1).ravel()
+            present = np.bitwise_count(np.bitwise_or.reduceat(held, borders, axis=0)[::2]).sum(axis=1, dtype=np.int64)
+            for k in np.flatnonzero(present >= PARAPHRASE * self.n).tolist():
+                got = self.found(words[a[k]:b[k]].tolist())
+                if got:
+                    yield lo + k, got
+
 
 def terms(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
     """(id, words): for each document the place of each of its words in the sorted
@@ -144,20 +169,19 @@ def passages(words: np.ndarray, borders: np.ndarray, weighty: np.ndarray, size:
 def passage_counts(table: DataFrame, n_words: int) -> tuple[int, np.ndarray]:
     """Number of passages of the corpus, and for each vocabulary word how many hold it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, held = 0, np.zeros(n_words, np.int64)
+        total, held, every = 0, np.zeros(n_words, np.int64), np.append(np.arange(n_words), -1)
+        side = max(1, (1 << 21) // n_words)   # passages at once
+        last = np.zeros(side * n_words, np.int64)
         for _, words, borders in lists(batches):
             total += int((-(-np.diff(borders) // PASSAGE)).sum())
-            at = np.flatnonzero(words >= 0)
-            row = np.searchsorted(borders, at, side="right") - 1
-            key = np.unique((row * (1 << 32) + (at - borders[row]) // PASSAGE) * np.int64(n_words) + words[at]) if len(at) * n_words < 1 << 62 and len(borders) * n_words < 1 << 30 else None
-            if key is None:   # too wide for one number
-                for r in range(len(borders) - 1):
-                    w = words[borders[r]:borders[r + 1]]
-                    p = np.flatnonzero(w >= 0)
-                    k = np.unique((p // PASSAGE) * np.int64(n_words) + w[p])
-                    held += np.bincount(k % n_words, minlength=n_words)
-            else:
-                held += np.bincount(key % n_words, minlength=n_words)
+            first, _, _, word = passages(words, borders, every, PASSAGE)
+            for lo in range(0, len(first), side):
+                x, y = first[lo], first[lo + side] if lo + side < len(first) else len(word)
+                w = word[x:y]
+                place = np.repeat(np.arange(len(first[lo:lo + side])), np.diff(np.append(first[lo:lo + side], y))) * n_words + w
+                mine = np.arange(len(w))
+                last[place] = mine   # of equal words of a passage one stays, and that one counts
+                held += np.bincount(w[last[place] == mine], minlength=n_words)
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1).astype(np.int32)), pa.array(np.append(held[at], total))], names=["word", "n"])
 
@@ -312,9 +336,9 @@ def counted(items: list[Item], held: np.ndarray, n_passages: int) -> tuple[np.nd
     the share PARAPHRASE of n). So of any n - need + k of them k are there. The rarest
     are taken, with the k that fewest other places should reach; nothing is lost by
     any k. Returns the items in order of their length, the row in ``shares`` of
-    each vocabulary word or -1 (last entry: other words), ``shares`` (for a word how
-    many of the taken words of each item it is), k and the half windows that
-    an item reaches to either side.
+    each vocabulary word or -1 (last entry: other words), ``shares`` (where a word's
+    items begin, and the items, one as often as the word is among its taken ones), k and the
+    half windows that an item reaches to either side.
     """
     order = sorted((i for i, item in enumerate(items) if item.n >= SHORT), key=lambda i: items[i].n)
     taken, least = [], []
@@ -331,16 +355,14 @@ def counted(items: list[Item], held: np.ndarray, n_passages: int) -> tuple[np.nd
     used = np.unique(np.concatenate(taken)) if taken else np.zeros(0, np.int64)
     place = np.full(len(held) + 1, -1, np.int64)
     place[used] = np.arange(len(used))
-    shares = np.zeros((len(used), len(order)), np.uint32)
-    for x, word in enumerate(taken):
-        np.add.at(shares[:, x], place[word], 1)
-    if len(used) and shares.max() <= 255 // (PASSAGE // 2):   # then the sum of a half window is a byte
-        shares = shares.astype(np.uint8)
+    word = place[np.concatenate(taken)] if taken else used
+    sort = np.argsort(word, kind="stable")
+    shares = np.searchsorted(word[sort], np.arange(len(used) + 1)), np.repeat(np.arange(len(order)), np.array([len(t) for t in taken], np.int64))[sort]
     return np.array(order, np.int64), place, shares, np.array(least, np.int64), np.array([-(-items[i].n // (PASSAGE // 2)) for i in order], np.int64)
 
 
-def candidates(words: np.ndarray, borders: np.ndarray, place: np.ndarray, shares: np.ndarray, least: np.ndarray, reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Row, item (column of ``shares``) and first word in the row of the windows around
+def candidates(words: np.ndarray, borders: np.ndarray, place: np.ndarray, shares: tuple[np.ndarray, np.ndarray], least: np.ndarray, reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, item (its place in the order of ``counted``) and first word in the row of the windows around
     which ``least`` of the item's taken words stand; windows start every half."""
     half = PASSAGE // 2
     base = np.concatenate(([0], np.cumsum(-(-np.diff(borders) // half))))
@@ -348,27 +370,49 @@ def candidates(words: np.ndarray, borders: np.ndarray, place: np.ndarray, shares
     if not len(first):
         return
     at_half = base[row] + number
+    begin, item = shares
     far = int(reach[-1]) + 2
+    # the largest sum of an item's places: where it fits 16 bits, sums may run over, their differences stay right
+    most = 2 * far * half * int(np.unique(np.repeat(np.arange(len(begin) - 1), np.diff(begin)) * len(least) + item, return_counts=True)[1].max())
+    kind = np.uint16 if most < 1 << 16 else np.int32
+    least = least.astype(kind)
     groups = np.flatnonzero(np.concatenate(([True], reach[1:] != reach[:-1], [True])))
-    step = max(2048, 2 * far)
+    step = max(1024, 2 * far)
     for lo in range(0, int(base[-1]), step):
         hi = min(lo + step, int(base[-1]))
         a, b = max(0, lo - far), min(int(base[-1]), hi + far)
         x, y = np.searchsorted(at_half, (a, b))
         if x == y:
             continue
-        sums = np.zeros((b - a + 1, shares.shape[1]), np.int32)   # of all half windows before
-        w = word[first[x]:first[y] if y < len(first) else len(word)]
-        sums[at_half[x:y] - a + 1] = np.add.reduceat(shares[w], first[x:y] - first[x], axis=0, dtype=shares.dtype)
-        np.cumsum(sums, axis=0, out=sums)
+        ends = np.append(first[x:y], first[y] if y < len(first) else len(word))
+        w = word[ends[0]:ends[-1]]
+        many = begin[w + 1] - begin[w]
+        after = np.cumsum(many)
+        each = np.arange(after[-1]) + np.repeat(begin[w] - (after - many), many)   # a word's items
+        place_of = np.repeat((np.repeat(at_half[x:y], np.diff(ends)) - a + 1) * len(least), many) + item[each]
+        sums = np.bincount(place_of, minlength=(b - a + 1) * len(least)).astype(kind).reshape(-1, len(least))   # of all half windows before
+        np.cumsum(sums, axis=0, dtype=kind, out=sums)
         at = np.arange(lo, hi)
         of = np.searchsorted(base, at, side="right") - 1
         for g, h in zip(groups[:-1], groups[1:]):
             left, right = np.maximum(at - reach[g], base[of]) - a, np.minimum(at + 2 + reach[g], base[of + 1]) - a
-            k, i = np.nonzero(sums[right, g:h] - sums[left, g:h] >= least[g:h])
+            k, i = np.divmod(np.flatnonzero(sums[right, g:h] - sums[left, g:h] >= least[g:h]), h - g)
             yield of[k], g + i, (at[k] - base[of[k]]) * half
 
 
+def by_item(near: list[tuple[np.ndarray, np.ndarray, np.ndarray]], order: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each item with the rows and first words of its windows, ascending, of what ``candidates`` gives."""
+    if not near:
+        return
+    row, item, at = (np.concatenate(x) for x in zip(*near))
+    sort = np.lexsort((at, row, item))
+    row, item, at = row[sort], item[sort], at[sort]
+    borders = np.searchsorted(item, np.arange(len(order) + 1))
+    for x in np.flatnonzero(np.diff(borders)).tolist():
+        own = slice(borders[x], borders[x + 1])
+        yield int(order[x]), row[own], at[own]
+
+
 def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], counts: tuple, weighty: np.ndarray, weights: np.ndarray, latent: np.ndarray, owner: np.ndarray) -> DataFrame:
     """Windows that may hold an item, checked; the best for each document row and item.
 
@@ -390,18 +434,16 @@ def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], cou
 
         for batch, words, borders in lists(batches):
             best: dict[tuple[int, int], tuple] = {}
-            near: dict[tuple[int, int], list[int]] = {}
-            if len(order):
-                for row, item, at in candidates(words, borders, place, shares, least, reach):
-                    for r, i, w in zip(row.tolist(), order[item].tolist(), at.tolist()):
-                        near.setdefault((r, i), []).append(w)
+            near = list(candidates(words, borders, place, shares, least, reach)) if len(order) else []
             hits = [(r, i, [((1.0, True), at // (PASSAGE // 2) * (PASSAGE // 2))]) for r, i, at in runs.found(words, borders)]
-            for (r, i), places in near.items():
-                item, a, b = items[i], borders[r], borders[r + 1]
-                got = [(item.found(words[max(a, a + at - item.n):min(b, a + at + PASSAGE + item.n)].tolist()), at) for at in places]
-                most = max((g[0] for g, _ in got if g), default=None)
-                if most is not None:
-                    hits.append((r, i, [(g, at) for g, at in got if g and g[0] == most]))
+            for i, row, at in by_item(near, order):
+                begin, n = borders[row], items[i].n
+                got: dict[int, list[tuple]] = {}
+                for k, g in items[i].found_in(words, np.maximum(begin, begin + at - n), np.minimum(borders[row + 1], begin + at + PASSAGE + n)):
+                    got.setdefault(int(row[k]), []).append((g, int(at[k])))
+                for r, places in got.items():
+                    most = max(g[0] for g, _ in places)
+                    hits.append((r, i, [(g, x) for g, x in places if g[0] == most]))
             for r, i, places in hits:
                 a, b = borders[r], borders[r + 1]
                 c, at, got = max(((cosine(i, words[a + at:min(b, a + at + PASSAGE)]), at, g) for g, at in places), key=lambda x: (x[0], -x[1]))

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from quire.llm import decontaminate as D
 from quire.llm.common import table
 from tests.conftest import SF_CHECK
@@ -100,6 +102,46 @@ def test_paraphrases_that_swap_the_rarest_words(spark):
     assert set(found(spark, texts, [" ".join(i) for i in items])) == want
 
 
+def test_windows_of_many_rows_at_once_as_one_by_one():
+    """``found_in`` looks at all windows of a batch together; 150 words need three 64-bit numbers."""
+    draw, found = np.random.default_rng(3), 0
+    for n in (8, 63, 64, 65, 150):
+        item = D.Item(0, draw.integers(0, 60, n).tolist())
+        rows = [draw.integers(-1, 90, m) for m in (0, 1, 40, 700, 31)] + [np.concatenate((draw.integers(-1, 90, 100), [w for w in item.words if draw.random() < 0.95], draw.integers(-1, 90, 100)))]
+        words, borders = np.concatenate(rows), np.cumsum([0, *map(len, rows)])
+        at = [np.arange(0, len(r), D.PASSAGE // 2) for r in rows]
+        row, at = np.repeat(np.arange(len(rows)), [len(x) for x in at]), np.concatenate(at)
+        some = draw.random(len(at)) < 0.8
+        row, at = row[some], at[some]
+        first, last = np.maximum(borders[row], borders[row] + at - n), np.minimum(borders[row + 1], borders[row] + at + D.PASSAGE + n)
+        want = {k: got for k in range(len(at)) if (got := item.found(words[first[k]:last[k]].tolist()))}
+        assert dict(item.found_in(words, first, last)) == want
+        found += len(want)
+    assert found
+
+
+def test_candidates_and_counts_as_by_hand():
+    draw = np.random.default_rng(4)
+    vocabulary, rows = 50, [draw.integers(-1, 50, m) for m in (0, 5, 16, 33, 2500, 400)]
+    words, borders = np.concatenate(rows), np.cumsum([0, *map(len, rows)])
+    held = np.bincount(np.concatenate([np.unique(r[lo:lo + D.PASSAGE]) for r in rows for lo in range(0, len(r), D.PASSAGE)] + [np.zeros(0, int)]) + 1, minlength=vocabulary + 1)[1:]
+    items = [D.Item(k, draw.integers(0, vocabulary, n).tolist()) for k, n in enumerate((9, 40, 9, 3, 120))]
+    order, place, shares, least, reach = D.counted(items, held, sum(-(-len(r) // D.PASSAGE) for r in rows))
+    for repeat in (1, 600):   # sums of 600 times as many places don't fit 16 bits
+        begin, item = shares
+        many = (begin * repeat, np.repeat(item, repeat))
+        got = {(r, i, a) for x in D.candidates(words, borders, place, many, least * repeat, reach) for r, i, a in zip(*(y.tolist() for y in x))}
+        want = set()
+        for r, row in enumerate(rows):
+            for a in range(0, len(row), D.PASSAGE // 2):
+                for x in range(len(order)):
+                    near = row[max(0, a - reach[x] * D.PASSAGE // 2):a + D.PASSAGE + reach[x] * D.PASSAGE // 2]
+                    places = place[near[near >= 0]]
+                    if sum(int((item[begin[p]:begin[p + 1]] == x).sum()) for p in places if p >= 0) >= least[x]:
+                        want.add((r, x, a))
+        assert got == want and want
+
+
 def test_short_items_listed_one_after_the_other(spark):
     r = random.Random(5)
     items = sorted({" ".join(r.choice(VOCAB) for _ in range(n)) for n in (1, 2, 3, 4, 5, 6, 7) for _ in range(30)})
