@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import cut_lineage, scratch_path
+from quire.session import cut_lineage, scratch_path, write_rows
 
 # ---- fixed values: stop-word lists of the two keyword profiles, as given ----
 INSPECT_STOPWORDS = (
@@ -125,7 +125,7 @@ def cluster_tfidf(docs: DataFrame, cluster: str = "cluster_id", doc: str = "doc_
     """
     spark, most = docs.sparkSession, VOCAB_ROWS if vocab_rows is None else vocab_rows
     path = scratch_path(spark, "tfidf-words")
-    docs.select(F.col(cluster).alias("c"), F.col(doc).alias("d"), spaced_words(F.col(text)).alias("t")).write.parquet(path)
+    write_rows(docs.select(F.col(cluster).alias("c"), F.col(doc).alias("d"), spaced_words(F.col(text)).alias("t")), path)
     docs = spark.read.parquet(path)
     sizes = cut_lineage(docs.groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs))
 
