@@ -258,3 +258,31 @@ def test_two_blocks_in_a_task(monkeypatch, pending):
             some = list(zip(*(z.tolist() for z in NB._some_edges(q, r, eps, q is r)[:2])))
             assert len(some) == len(want) == len(kruskal([(0.0, i, j) for i, j in some], 110)) and all(d[i, j] <= eps for i, j in some)
             assert len(kruskal([(0.0, i, j) for i, j in some] + pairs, 110)) == len(want)
+
+
+def jobs_of(spark, name, run):
+    """Spark jobs that an action started."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
+
+
+def test_few_jobs_cut_rows_into_buckets_and_cells(spark):
+    x = clustered(3000, 8, 6, 15)
+    df = vec_df(spark, x).repartition(3).localCheckpoint()
+    got, jobs = jobs_of(spark, "few", lambda: lists(NB.knn(df, 3, n_pivots=4, block_size=40)))
+    assert got == brute_knn(x, 3) and jobs < 60
+
+
+def test_parts_larger_than_a_task_are_cut_by_joins(spark, monkeypatch):
+    monkeypatch.setattr(NB, "PART_ROWS", 300)
+    x = np.vstack([clustered(900, 5, 4, 16), np.arange(40)[:, None] * 1e-200 + np.zeros((1, 4))])   # the last ones are at distance 0 by rounding
+    df = vec_df(spark, x)
+    buckets = NB.projection_buckets(df, block_size=30, trees=2).groupBy("node").count().collect()
+    assert sum(r["count"] for r in buckets) == 2 * len(x) and max(r["count"] for r in buckets) <= 30
+    index = NB.ball_index(df, fan=5, block_size=30)
+    cells = index.rows.groupBy("cell").count().collect()
+    assert sum(r["count"] for r in cells) == len(x) and max(r["count"] for r in cells) <= 30
+    assert lists(NB.knn(df.filter("id < 900"), 3, n_pivots=5, block_size=30)) == brute_knn(x[:900], 3)
