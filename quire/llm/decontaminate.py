@@ -4,12 +4,13 @@ Benchmark items are cut into passages of at most ``PASSAGE`` words. Passages of
 the corpus (runs of as many words) are TF-IDF vectors over the terms that weigh
 most in some benchmark passage (``HEAVY`` of each, so every one is
 represented). A randomised SVD of that matrix, sketched in one pass of the
-cluster over all documents, gives a latent space, in which a window's cosine
-with the benchmark passages is taken. No cosine decides what is looked at: a
-window is a candidate for an item if enough of the item's words stand around it
-(see ``counted``), which holds for every window that the checks can accept.
-Around candidates the longest common subsequence of words with the whole item is
-computed:
+cluster over all documents, gives a latent space; in it every window of every
+document is compared with the benchmark passages by cosine. Windows of
+``LEAST_COSINE`` or more, which also hold ``LEAST_SHARE`` of the passage's weight
+along its own direction, are candidates for its item (see ``retrieved``). So are windows
+around which enough of the item's words stand (see ``counted``), which holds for every window
+that the checks can accept, so no paraphrase is lost by the latent space. Around
+candidates the longest common subsequence of words with the whole item is computed:
 
 * at least ``COPY`` of the item's words: contaminated;
 * at least ``PARAPHRASE``, and the item's last quarter (its answer) stands
@@ -47,6 +48,7 @@ HEAVY = 16            # terms kept of each benchmark passage
 SPACE, OVER = 384, 64  # benchmark passages in one latent space, and its dimensions beyond theirs
 ITEM_WEIGHT = 9.0     # weight of the benchmark's passages against all the corpus's
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.75
+LEAST_COSINE, LEAST_SHARE = 0.45, 0.25
 SHORT = 8
 BLOCK = 2000          # items searched at once
 SEED = 20_111
@@ -400,31 +402,62 @@ def candidates(words: np.ndarray, borders: np.ndarray, place: np.ndarray, shares
             yield of[k], g + i, (at[k] - base[of[k]]) * half
 
 
+def retrieved(words: np.ndarray, borders: np.ndarray, weighty: np.ndarray, weights: np.ndarray, along: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, benchmark passage and first word in the row of the windows that are near a passage in the latent space: a cosine of
+    LEAST_COSINE, and LEAST_SHARE of the passage's ``length`` along its direction; windows start every half.
+    ``along`` (terms x passages) is each term's part along each passage, so a window's products with all passages are a sum of its rows."""
+    half, least = PASSAGE // 2, LEAST_SHARE * length
+    first, row, number, term = passages(words, borders, weighty, half)
+
+    def sums(of: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        """Of the windows lo to hi, from the half windows and those after them."""
+        more = min(hi + 1, len(first))
+        starts = first[lo:more]
+        out = np.add.reduceat(of[term[starts[0]:first[more] if more < len(first) else len(term)]], starts - starts[0], axis=0)
+        on = np.flatnonzero((row[lo + 1:more] == row[lo:more - 1]) & (number[lo + 1:more] == number[lo:more - 1] + 1))
+        out[on] += out[on + 1]   # the right side is taken before
+        return out[:hi - lo]
+
+    for lo in range(0, len(first), 2048):
+        product = sums(along, lo, min(lo + 2048, len(first)))
+        at, q = np.nonzero(product >= least)
+        if not len(at):
+            continue
+        size = np.linalg.norm(sums(weights, lo, min(lo + 2048, len(first))), axis=1)
+        ok = product[at, q] >= LEAST_COSINE * size[at]
+        yield row[lo + at[ok]], q[ok], number[lo + at[ok]] * half
+
+
 def by_item(near: list[tuple[np.ndarray, np.ndarray, np.ndarray]], order: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Each item with the rows and first words of its windows, ascending, of what ``candidates`` gives."""
+    """Each item with the rows and first words of its windows, ascending and once each, of what ``candidates`` and ``retrieved`` give."""
     if not near:
         return
     row, item, at = (np.concatenate(x) for x in zip(*near))
     sort = np.lexsort((at, row, item))
     row, item, at = row[sort], item[sort], at[sort]
+    new = np.concatenate(([True], (item[1:] != item[:-1]) | (row[1:] != row[:-1]) | (at[1:] != at[:-1]))) if len(at) else np.zeros(0, bool)
+    row, item, at = row[new], item[new], at[new]
     borders = np.searchsorted(item, np.arange(len(order) + 1))
     for x in np.flatnonzero(np.diff(borders)).tolist():
         own = slice(borders[x], borders[x + 1])
         yield int(order[x]), row[own], at[own]
 
 
-def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], counts: tuple, weighty: np.ndarray, weights: np.ndarray, latent: np.ndarray, owner: np.ndarray) -> DataFrame:
-    """Windows that may hold an item, checked; the best for each document row and item.
+def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], counts: tuple, weighty: np.ndarray, weights: np.ndarray, latent: np.ndarray, length: np.ndarray, owner: np.ndarray) -> DataFrame:
+    """Windows near a benchmark passage and windows that may hold an item, checked; the best for each document row and item.
 
     ``counts`` is what ``counted`` gives, ``weights`` (terms x dimensions) are the
     idf-weighted latent vectors of the terms, ``latent`` the unit latent vectors of the
-    benchmark passages, ``owner`` their items.
+    benchmark passages, ``length`` the lengths of their term vectors, ``owner`` their items.
     """
-    sent = table.sparkSession.sparkContext.broadcast((items, counts, Runs(items, len(weighty) - 1), weighty, weights.astype(np.float32), latent.astype(np.float32), np.searchsorted(owner, np.arange(len(items) + 1))))
+    sent = table.sparkSession.sparkContext.broadcast((items, counts, Runs(items, len(weighty) - 1), weighty, weights.astype(np.float32), latent.astype(np.float32), length.astype(np.float32), owner, np.searchsorted(owner, np.arange(len(items) + 1))))
     kind = table.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, (order, place, shares, least, reach), runs, weighty, weights, latent, own = sent.value
+        items, (order, place, shares, least, reach), runs, weighty, weights, latent, length, owner, own = sent.value
+        ordered = np.full(len(items), -1)   # short items have no place in the order
+        ordered[order] = np.arange(len(order))
+        along = weights @ latent.T
 
         def cosine(i: int, window: np.ndarray) -> float:
             """Of the window with the nearest passage of the item."""
@@ -435,6 +468,9 @@ def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], cou
         for batch, words, borders in lists(batches):
             best: dict[tuple[int, int], tuple] = {}
             near = list(candidates(words, borders, place, shares, least, reach)) if len(order) else []
+            for row, q, at in retrieved(words, borders, weighty, weights, along, length):
+                item = ordered[owner[q]]
+                near.append((row[item >= 0], item[item >= 0], at[item >= 0]))
             hits = [(r, i, [((1.0, True), at // (PASSAGE // 2) * (PASSAGE // 2))]) for r, i, at in runs.found(words, borders)]
             for i, row, at in by_item(near, order):
                 begin, n = borders[row], items[i].n
@@ -497,15 +533,15 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
             used = np.unique(np.concatenate([w for _, w, _ in parts]))
             weighty = np.full(len(vocabulary) + 1, -1, np.int64)
             weighty[used] = np.arange(len(used))
-            queries = np.zeros((len(parts), len(used)))
+            queries, length = np.zeros((len(parts), len(used))), np.array([np.linalg.norm(weight) for _, _, weight in parts])
             for at, (_, word, weight) in enumerate(parts):
-                queries[at, weighty[word]] = weight / np.linalg.norm(weight)
+                queries[at, weighty[word]] = weight / length[at]
             v, _ = latent_space(table, weighty, idf_all[used], queries)
             latent = queries @ v
             latent /= np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
             owner = np.array([i for i, _, _ in parts])
             lo, hi = owner[0], owner[-1] + 1   # an item's passages share a space
-            out.append(search(table, id_col, item_type, items[lo:hi], counted(items[lo:hi], held, n_passages), weighty, idf_all[used][:, None] * v, latent, owner - lo))
+            out.append(search(table, id_col, item_type, items[lo:hi], counted(items[lo:hi], held, n_passages), weighty, idf_all[used][:, None] * v, latent, length, owner - lo))
     return reduce(DataFrame.unionByName, out) if out else none
 
 

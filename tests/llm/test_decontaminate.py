@@ -151,3 +151,33 @@ def test_short_items_listed_one_after_the_other(spark):
     got = found(spark, texts, items)
     assert set(got) == want
     assert all(x["coverage"] == 1 and items[i] in " ".join(dict(texts)[d].split()[x["near_word"]:][:D.PASSAGE]) for (d, i), x in got.items())
+
+
+def test_windows_are_retrieved_by_their_latent_cosine():
+    rng = np.random.default_rng(5)
+    n_words, dims, n_passages = 120, 12, 7
+    weighty = np.append(np.where(np.arange(n_words) % 3 == 0, np.arange(n_words) // 3, -1), -1)
+    weights = rng.normal(size=(40, dims)).astype(np.float32)
+    latent = rng.normal(size=(n_passages, dims)).astype(np.float32)
+    latent /= np.linalg.norm(latent, axis=1)[:, None]
+    length = np.linspace(4, 12, n_passages).astype(np.float32)
+    borders = np.array([0, 0, 900, 907, 40_000])
+    texts = rng.integers(-1, n_words, borders[-1])
+    got = {(int(r), int(q), int(a)) for row, passage, at in D.retrieved(texts, borders, weighty, weights, weights @ latent.T, length) for r, q, a in zip(row, passage, at)}
+    want, close = set(), set()
+    for r, (a, b) in enumerate(zip(borders, borders[1:])):
+        for at in range(0, b - a, D.PASSAGE // 2):
+            if not (weighty[texts[a + at:min(b, a + at + D.PASSAGE // 2)]] >= 0).any():
+                continue
+            term = weighty[texts[a + at:min(b, a + at + D.PASSAGE)]]
+            v = weights[term[term >= 0]].astype(np.float64).sum(axis=0)
+            for q in range(n_passages):
+                over = min(v @ latent[q] - D.LEAST_COSINE * np.linalg.norm(v), v @ latent[q] - D.LEAST_SHARE * length[q])
+                (close if abs(over) < 1e-3 else want if over > 0 else set()).add((r, q, at))
+    assert len(want) > 50 and want <= got <= want | close
+
+
+def test_windows_found_by_both_ways_are_checked_once():
+    near = [(np.array([2, 0]), np.array([1, 0]), np.array([16, 0])), (np.array([2, 2]), np.array([1, 1]), np.array([0, 16]))]
+    got = [(i, row.tolist(), at.tolist()) for i, row, at in D.by_item(near, np.array([5, 3]))]
+    assert got == [(5, [0], [0]), (3, [2, 2], [0, 16])]
