@@ -286,3 +286,13 @@ def test_parts_larger_than_a_task_are_cut_by_joins(spark, monkeypatch):
     cells = index.rows.groupBy("cell").count().collect()
     assert sum(r["count"] for r in cells) == len(x) and max(r["count"] for r in cells) <= 30
     assert lists(NB.knn(df.filter("id < 900"), 3, n_pivots=5, block_size=30)) == brute_knn(x[:900], 3)
+
+
+def test_equal_vectors_are_looked_for_once(spark, monkeypatch):
+    calls, real = [], NB.distinct_vectors
+    monkeypatch.setattr(NB, "distinct_vectors", lambda *a: (calls.append(1), real(*a))[1])
+    x = clustered(60, 3, 3, 17)
+    x[20:30] = x[4]
+    tree = C.density_tree(vec_df(spark, x), 0.6, 3)
+    assert len(calls) == 1
+    assert {r["id"]: r["cluster_id"] for r in C.flat_cut(tree, 0.6, 5).collect()} == brute_cut(x, 0.6, 5, 3)
