@@ -402,30 +402,23 @@ def candidates(words: np.ndarray, borders: np.ndarray, place: np.ndarray, shares
             yield of[k], g + i, (at[k] - base[of[k]]) * half
 
 
-def retrieved(words: np.ndarray, borders: np.ndarray, weighty: np.ndarray, weights: np.ndarray, along: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def retrieved(words: np.ndarray, borders: np.ndarray, weighty: np.ndarray, weights: np.ndarray, latent: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Row, benchmark passage and first word in the row of the windows that are near a passage in the latent space: a cosine of
-    LEAST_COSINE, and LEAST_SHARE of the passage's ``length`` along its direction; windows start every half.
-    ``along`` (terms x passages) is each term's part along each passage, so a window's products with all passages are a sum of its rows."""
+    LEAST_COSINE, and LEAST_SHARE of the passage's ``length`` along its direction; windows start every half."""
     half, least = PASSAGE // 2, LEAST_SHARE * length
     first, row, number, term = passages(words, borders, weighty, half)
-
-    def sums(of: np.ndarray, lo: int, hi: int) -> np.ndarray:
-        """Of the windows lo to hi, from the half windows and those after them."""
-        more = min(hi + 1, len(first))
+    for lo in range(0, len(first), 2048):
+        hi, more = min(lo + 2048, len(first)), min(lo + 2049, len(first))   # the half window after the last one
         starts = first[lo:more]
-        out = np.add.reduceat(of[term[starts[0]:first[more] if more < len(first) else len(term)]], starts - starts[0], axis=0)
+        sums = np.add.reduceat(weights[term[starts[0]:first[more] if more < len(first) else len(term)]], starts - starts[0], axis=0)
         on = np.flatnonzero((row[lo + 1:more] == row[lo:more - 1]) & (number[lo + 1:more] == number[lo:more - 1] + 1))
-        out[on] += out[on + 1]   # the right side is taken before
-        return out[:hi - lo]
-
-    for lo in range(0, len(first), 2048):
-        product = sums(along, lo, min(lo + 2048, len(first)))
-        at, q = np.nonzero(product >= least)
-        if not len(at):
-            continue
-        size = np.linalg.norm(sums(weights, lo, min(lo + 2048, len(first))), axis=1)
-        ok = product[at, q] >= LEAST_COSINE * size[at]
-        yield row[lo + at[ok]], q[ok], number[lo + at[ok]] * half
+        full = sums[:hi - lo].copy()
+        full[on] += sums[on + 1]
+        size = np.linalg.norm(full, axis=1)
+        long = np.flatnonzero(size >= least.min() * (1 - 1e-4))   # a shorter one holds too little of any passage
+        along = full[long] @ latent.T
+        w, q = np.nonzero((along >= LEAST_COSINE * size[long, None]) & (along >= least[None, :]))
+        yield row[lo + long[w]], q, number[lo + long[w]] * half
 
 
 def by_item(near: list[tuple[np.ndarray, np.ndarray, np.ndarray]], order: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -457,7 +450,6 @@ def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], cou
         items, (order, place, shares, least, reach), runs, weighty, weights, latent, length, owner, own = sent.value
         ordered = np.full(len(items), -1)   # short items have no place in the order
         ordered[order] = np.arange(len(order))
-        along = weights @ latent.T
 
         def cosine(i: int, window: np.ndarray) -> float:
             """Of the window with the nearest passage of the item."""
@@ -468,7 +460,7 @@ def search(table: DataFrame, id_col: str, item_type: str, items: list[Item], cou
         for batch, words, borders in lists(batches):
             best: dict[tuple[int, int], tuple] = {}
             near = list(candidates(words, borders, place, shares, least, reach)) if len(order) else []
-            for row, q, at in retrieved(words, borders, weighty, weights, along, length):
+            for row, q, at in retrieved(words, borders, weighty, weights, latent, length):
                 item = ordered[owner[q]]
                 near.append((row[item >= 0], item[item >= 0], at[item >= 0]))
             hits = [(r, i, [((1.0, True), at // (PASSAGE // 2) * (PASSAGE // 2))]) for r, i, at in runs.found(words, borders)]
